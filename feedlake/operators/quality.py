@@ -56,7 +56,11 @@ def warn_if_unexpected(df: DataFrame, feed: Feed, at_least: int = 2) -> bool:
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The same rows plus a row count that is filled in by the next action over them."""
+    """The same rows plus a row count that is filled in by the next action over them.
+
+    Exact where the rows reach that action without a further shuffle, as in a write of the result:
+    then each partition counts once even if tasks are run again.
+    """
     observation = Observation(name)
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 

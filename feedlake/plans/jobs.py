@@ -124,11 +124,11 @@ def combine(
         daily = combine_daily(
             panel_daily(panel), linelist_daily(cases), processed_at=processed_at
         )
-    rows, days = counted(daily, "daily_rows")
-    write_sorted(rows, daily_path)
+    write_sorted(daily, daily_path)
     written = spark.read.parquet(daily_path)
     write_csv(written, lake.usage("daily_comparison_csv"))
-    details = {"path": daily_path, "rows": days.get["rows"]}
+    # Counted from the written files: sorting runs its input twice, which an observation would add.
+    details = {"path": daily_path, "rows": written.count()}
     if missing != "zero":
         summary = summary_stats(written)
         write_table(summary, lake.usage("summary_stats"))
@@ -180,6 +180,23 @@ def run_stages(stages: Mapping[str, Callable[[], dict]]) -> list[StageResult]:
     return results
 
 
+def stages_after_landing(
+    spark: SparkSession,
+    lake: Lake,
+    panel_country: str,
+    linelist_country: str,
+    day: date | str | None = None,
+) -> dict[str, Callable[[], dict]]:
+    """Formatting to indexing, in order, over the snapshots in the lake."""
+    return {
+        "format_panel": lambda: format_snapshot(spark, lake, PANEL, panel_country, day),
+        "format_linelist": lambda: format_snapshot(spark, lake, LINE_LIST, linelist_country, day),
+        "combine": lambda: combine(spark, lake),
+        "model_trend": lambda: model_trend(spark, lake, panel_country),
+        "index": lambda: index(spark, lake),
+    }
+
+
 def run_pipeline(
     spark: SparkSession,
     lake: Lake,
@@ -190,16 +207,9 @@ def run_pipeline(
     day: date | str | None = None,
 ) -> list[StageResult]:
     """Every stage from landing to indexing."""
-    return run_stages(
-        {
-            "land_panel": lambda: land(panel_raw, lake, PANEL, day),
-            "land_linelist": lambda: land(linelist_raw, lake, LINE_LIST, day),
-            "format_panel": lambda: format_snapshot(spark, lake, PANEL, panel_country, day),
-            "format_linelist": lambda: format_snapshot(
-                spark, lake, LINE_LIST, linelist_country, day
-            ),
-            "combine": lambda: combine(spark, lake),
-            "model_trend": lambda: model_trend(spark, lake, panel_country),
-            "index": lambda: index(spark, lake),
-        }
-    )
+    landing = {
+        "land_panel": lambda: land(panel_raw, lake, PANEL, day),
+        "land_linelist": lambda: land(linelist_raw, lake, LINE_LIST, day),
+    }
+    later = stages_after_landing(spark, lake, panel_country, linelist_country, day)
+    return run_stages(landing | later)

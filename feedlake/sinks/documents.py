@@ -78,7 +78,8 @@ def write_bulk(
 ) -> None:
     """Replaces the target with its mapping and with bulk files of at most ``batch`` documents."""
     spark = documents.sparkSession
-    mapping = spark.range(1).select(F.lit(json.dumps(index_mapping())).alias("value"))
+    one_row = spark.range(0, 1, 1, numPartitions=1)
+    mapping = one_row.select(F.lit(json.dumps(index_mapping())).alias("value"))
     mapping.write.mode("overwrite").text(f"{path}/mapping")
     (
         bulk_lines(documents, index)

@@ -1,38 +1,44 @@
 """Dated raw snapshots: ``<raw>/<feed>/<yyyy-MM-dd>/``.
 
-The day is chosen from the listing, before the scan is planned, so only that directory is read.
+The day is chosen from the names of the dated directories, before the scan is planned, so only
+the chosen directory is listed and read however many days have landed.
 """
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from feedlake.feeds import Feed
 from feedlake.sources.delimited import read_detected_csv
 
-# Fixed value: the dated directory in a snapshot's path.
-DATED = r"/(\d{4}-\d{2}-\d{2})/[^/]+$"
+# Fixed value: the name of a dated directory.
+DATED = re.compile(r"\d{4}-\d{2}-\d{2}")
 
 
 def snapshot_path(raw_root: str, feed: Feed, day: date | str) -> str:
     return f"{raw_root.rstrip('/')}/{feed.name}/{day}"
 
 
-def _days(spark: SparkSession, raw_root: str, feed: Feed) -> DataFrame:
-    """The day of every landed file. Reads the listing; file contents are pruned away."""
-    files = spark.read.format("binaryFile").load(f"{raw_root.rstrip('/')}/{feed.name}/*")
-    return files.select(F.regexp_extract("path", DATED, 1).alias("day")).where("day != ''")
+def snapshot_days(spark: SparkSession, raw_root: str, feed: Feed) -> list[str]:
+    """The days landed so far, in order; works on any file system Spark can reach."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{raw_root.rstrip('/')}/{feed.name}")
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = (entry.getPath().getName() for entry in files.listStatus(folder))
+    return sorted(name for name in names if DATED.fullmatch(name))
 
 
 def latest_snapshot(spark: SparkSession, raw_root: str, feed: Feed) -> str:
     """The greatest snapshot day; fails if none has landed."""
-    day = _days(spark, raw_root, feed).agg(F.max("day")).first()[0]
-    if day is None:
+    days = snapshot_days(spark, raw_root, feed)
+    if not days:
         raise FileNotFoundError(f"no snapshot of {feed.name} under {raw_root}")
-    return day
+    return days[-1]
 
 
 def read_snapshot(
@@ -41,12 +47,10 @@ def read_snapshot(
     feed: Feed,
     day: date | str | None = None,
     or_latest: bool = True,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """The snapshot of a day (today if none is given), else the latest one if allowed."""
     wanted = str(day or date.today())
-    if or_latest:
-        landed = _days(spark, raw_root, feed).agg(
-            F.coalesce(F.max(F.when(F.col("day") == wanted, wanted)), F.max("day"))
-        )
-        wanted = landed.first()[0] or wanted
-    return read_detected_csv(spark, snapshot_path(raw_root, feed, wanted))
+    if or_latest and wanted not in snapshot_days(spark, raw_root, feed):
+        wanted = latest_snapshot(spark, raw_root, feed)
+    return read_detected_csv(spark, snapshot_path(raw_root, feed, wanted), encoding)
