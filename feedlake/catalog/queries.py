@@ -69,7 +69,6 @@ from feedlake.sinks import (
 from feedlake.sources import capped, read_daily_csv, read_snapshot
 
 LANDING_DAY = "2024-01-31"
-EARLIER_DAY = "2024-01-30"
 
 
 def panel_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,11 +231,9 @@ def partitioned_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The panel landed twice as CSV, its latest snapshot found, read and formatted."""
+    """The panel landed as CSV, its latest snapshot found, its separator detected, formatted."""
     raw_root = scratch_path(spark, "raw")
-    raw = panel_raw(spark, sf_dir)
-    land_snapshot(raw.where("sexe = '0'"), raw_root, PANEL, EARLIER_DAY)
-    land_snapshot(raw, raw_root, PANEL, LANDING_DAY, sep=";")
+    land_snapshot(panel_raw(spark, sf_dir), raw_root, PANEL, LANDING_DAY, sep=";")
     return format_feed(read_snapshot(spark, raw_root, PANEL), PANEL, PANEL_COUNTRY).drop(
         "ingestion_date"
     )

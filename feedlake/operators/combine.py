@@ -30,26 +30,25 @@ ZERO_FORM = (
 )
 
 
-def _aligned(daily: DataFrame, absent: int | None) -> DataFrame:
+def _aligned(daily: DataFrame, absent: str) -> DataFrame:
     """The measure columns in order and type; those the feed does not report read ``absent``."""
-    return daily.select(
+    return daily.selectExpr(
         [
-            (F.col(f.name) if f.name in daily.columns else F.lit(absent))
-            .cast(f.dataType)
-            .alias(f.name)
+            f"cast({f.name if f.name in daily.columns else absent} as {f.dataType.simpleString()})"
+            f" as {f.name}"
             for f in MEASURES
         ]
     )
 
 
-def _stacked(dailies: tuple[DataFrame, ...], absent: int | None) -> DataFrame:
+def _stacked(dailies: tuple[DataFrame, ...], absent: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [_aligned(d, absent) for d in dailies])
 
 
 def combine_daily(*dailies: DataFrame, processed_at: datetime | None = None) -> DataFrame:
     """Union of day tables with rates; what a feed does not report stays NULL. Unsorted."""
     stamp = F.lit(processed_at) if processed_at else F.current_timestamp()
-    return _stacked(dailies, None).withColumns(
+    return _stacked(dailies, "null").withColumns(
         {
             "mortality_rate": guarded_pct(F.col("total_deaths"), F.col("total_cases")),
             "recovery_rate": guarded_pct(F.col("total_recovered"), F.col("total_cases")),
@@ -65,7 +64,7 @@ def combine_daily_zero(*dailies: DataFrame) -> DataFrame:
     """
     totals = [c for c in ZERO_FORM if c.startswith("total_")]
     return (
-        _stacked(dailies, 0)
+        _stacked(dailies, "0")
         .na.fill(0, totals)
         .withColumn("date", F.date_format("date", "yyyy-MM-dd"))
         .select(*ZERO_FORM)

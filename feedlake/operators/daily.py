@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Result column names and the codes they count.
@@ -32,11 +32,18 @@ STATUS_COUNTS = {
 }
 
 
+def _regions(column: str, exact: bool) -> Column:
+    """Distinct regions; the approximate count spares the second shuffle."""
+    count = F.count_distinct(column) if exact else F.approx_count_distinct(column)
+    return count.alias("regions_count")
+
+
 def panel_daily(
     panel: DataFrame,
     categories: Sequence[str] | None = TOTAL_CATEGORIES,
     sums: Mapping[str, str] = PANEL_SUMS,
     regions: bool = True,
+    exact_regions: bool = True,
 ) -> DataFrame:
     """Sums per day over the total category, or over all categories with ``categories=None``.
 
@@ -46,12 +53,14 @@ def panel_daily(
     rows = panel if categories is None else panel.where(F.col("sex").isin(*categories))
     measures = [F.sum(source).alias(name) for name, source in sums.items()]
     if regions:
-        measures.append(F.count_distinct("department_code").alias("regions_count"))
+        measures.append(_regions("department_code", exact_regions))
     return rows.where(F.col("date").isNotNull()).groupBy("date", "country").agg(*measures)
 
 
 def linelist_daily(
-    cases: DataFrame, status_counts: Mapping[str, str] = STATUS_COUNTS
+    cases: DataFrame,
+    status_counts: Mapping[str, str] = STATUS_COUNTS,
+    exact_regions: bool = True,
 ) -> DataFrame:
     """Cases per day, counts by status, distinct regions and mean age, in one aggregation."""
     by_status = [
@@ -63,7 +72,7 @@ def linelist_daily(
         .agg(
             F.count("*").alias("total_cases"),
             *by_status,
-            F.count_distinct("department_name").alias("regions_count"),
+            _regions("department_name", exact_regions),
             F.avg("age").alias("avg_age"),
         )
     )

@@ -9,6 +9,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -74,10 +76,10 @@ def quality_report(
     """
     typed = typed_feed(raw, feed, country, ingestion_date)
     keys = [F.col(c) for c in feed.keys if c in typed.columns]
-    any_key_null = F.array_contains(F.array(*[k.isNull() for k in keys]), True)
+    any_key_null = reduce(or_, [key.isNull() for key in keys], F.lit(False))
     flags = typed.select(
         row_is_kept(typed, feed).alias("kept"),
-        (any_key_null if keys else F.lit(False)).alias("key_missing"),
+        any_key_null.alias("key_missing"),
     )
     counts = flags.agg(
         F.count("*").alias("rows_in"),

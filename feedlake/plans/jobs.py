@@ -34,6 +34,8 @@ from feedlake.operators.trend import (
     trend_split,
 )
 from feedlake.sinks import (
+    INDEX_FIELDS,
+    ZERO_INDEX_FIELDS,
     land_snapshot,
     to_documents,
     write_bulk,
@@ -154,9 +156,10 @@ def index(
 ) -> dict:
     """Writes the comparison as index documents and verifies their number."""
     daily = spark.read.parquet(lake.usage("daily_comparison"))
-    rows, documents = counted(to_documents(daily, missing), "documents")
+    fields = ZERO_INDEX_FIELDS if missing == "zero" else INDEX_FIELDS
+    rows, documents = counted(to_documents(daily, missing, fields), "documents")
     path = lake.usage("index")
-    write_bulk(rows, path, name)
+    write_bulk(rows, path, name, fields=fields)
     # Each document takes an action line and a source line.
     written = spark.read.text(f"{path}/bulk").count() // 2
     expected = documents.get["rows"]

@@ -2,6 +2,7 @@
 
 from feedlake.sinks.documents import (
     INDEX_FIELDS,
+    ZERO_INDEX_FIELDS,
     bulk_lines,
     index_mapping,
     to_documents,
@@ -19,6 +20,7 @@ from feedlake.sinks.tables import (
 
 __all__ = [
     "INDEX_FIELDS",
+    "ZERO_INDEX_FIELDS",
     "bulk_lines",
     "index_mapping",
     "land_snapshot",

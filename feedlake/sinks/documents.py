@@ -29,6 +29,17 @@ INDEX_FIELDS = {
     "recovery_rate": "float",
     "processed_at": "date",
 }
+ZERO_INDEX_FIELDS = {
+    "date": "date",
+    "country": "keyword",
+    "total_cases": "float",
+    "total_hospitalizations": "float",
+    "total_icu": "float",
+    "total_deaths": "float",
+    "total_recovered": "float",
+    "regions_count": "integer",
+    "avg_age": "float",
+}
 BULK_SIZE = 500
 COERCIONS = {"integer": whole_or_null, "float": real_or_null}
 
@@ -74,12 +85,16 @@ def bulk_lines(documents: DataFrame, index: str) -> DataFrame:
 
 
 def write_bulk(
-    documents: DataFrame, path: str, index: str, batch: int = BULK_SIZE
+    documents: DataFrame,
+    path: str,
+    index: str,
+    batch: int = BULK_SIZE,
+    fields: Mapping[str, str] = INDEX_FIELDS,
 ) -> None:
     """Replaces the target with its mapping and with bulk files of at most ``batch`` documents."""
     spark = documents.sparkSession
     one_row = spark.range(0, 1, 1, numPartitions=1)
-    mapping = one_row.select(F.lit(json.dumps(index_mapping())).alias("value"))
+    mapping = one_row.select(F.lit(json.dumps(index_mapping(fields))).alias("value"))
     mapping.write.mode("overwrite").text(f"{path}/mapping")
     (
         bulk_lines(documents, index)

@@ -86,6 +86,14 @@ def test_linelist_daily(cases):
     ]
 
 
+def test_approximate_regions_are_exact_on_few(panel, cases):
+    for exact, approximate in (
+        (panel_daily(panel), panel_daily(panel, exact_regions=False)),
+        (linelist_daily(cases), linelist_daily(cases, exact_regions=False)),
+    ):
+        assert as_tuples(exact, "date") == as_tuples(approximate, "date")
+
+
 def test_joined_form_agrees_with_the_single_aggregation(cases):
     columns = ["date", "total_cases", "regions_count", "avg_age", "total_deaths", "total_recovered"]
     joined = linelist_daily_joined(linelist_cells(cases)).select(*columns)
