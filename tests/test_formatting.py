@@ -10,7 +10,8 @@ DAY = date(2024, 1, 31)
 
 def panel(spark, rows):
     columns = ["dep", "sexe", "jour", "hosp", "rea", "rad", "dc", "note"]
-    return spark.createDataFrame(rows, T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+    fields = [T.StructField(c, T.StringType()) for c in columns]
+    return spark.createDataFrame(rows, T.StructType(fields))
 
 
 def test_panel_values(spark):
