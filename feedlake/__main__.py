@@ -26,6 +26,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--linelist-country", default="LINELIST")
     parser.add_argument("--day", help="snapshot day, today if left out")
     parser.add_argument("--encoding", default="UTF-8")
+    parser.add_argument("--missing", choices=("null", "zero"), default="null")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("feedlake").getOrCreate()
@@ -38,7 +39,12 @@ def main(arguments: list[str] | None = None) -> int:
         if path
     }
     stages |= stages_after_landing(
-        spark, lake, options.panel_country, options.linelist_country, options.day
+        spark,
+        lake,
+        options.panel_country,
+        options.linelist_country,
+        options.day,
+        options.missing,
     )
     results = run_stages(stages)
     for result in results:

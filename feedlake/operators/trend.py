@@ -22,8 +22,12 @@ FORECAST_DAYS = 30
 def trend_features(
     daily: DataFrame, measure: str = "total_hospitalizations", country: str | None = None
 ) -> DataFrame:
-    """Date, day number and label. Day 0 is the first date, even if it has no value itself."""
+    """Date, day number and label. Day 0 is the first date, even if it has no value itself.
+
+    Dates may be text, as in the zero-filled form and in CSV copies.
+    """
     series = daily.where(F.col("country") == country) if country else daily
+    series = series.withColumn("date", F.col("date").try_cast("date"))
     first_day = series.agg(F.min("date")).scalar()
     return (
         series.where(F.col(measure).isNotNull())

@@ -117,6 +117,8 @@ def combine(
     ``missing="zero"`` adds up every panel category, reads 0 for what a feed does not report and
     has no rates, hence no summary.
     """
+    if missing not in ("null", "zero"):
+        raise ValueError(f"unknown missing {missing!r}")
     panel = spark.read.parquet(lake.formatted(PANEL))
     cases = spark.read.parquet(lake.formatted(LINE_LIST))
     daily_path = lake.usage("daily_comparison")
@@ -189,14 +191,15 @@ def stages_after_landing(
     panel_country: str,
     linelist_country: str,
     day: date | str | None = None,
+    missing: str = "null",
 ) -> dict[str, Callable[[], dict]]:
     """Formatting to indexing, in order, over the snapshots in the lake."""
     return {
         "format_panel": lambda: format_snapshot(spark, lake, PANEL, panel_country, day),
         "format_linelist": lambda: format_snapshot(spark, lake, LINE_LIST, linelist_country, day),
-        "combine": lambda: combine(spark, lake),
+        "combine": lambda: combine(spark, lake, missing),
         "model_trend": lambda: model_trend(spark, lake, panel_country),
-        "index": lambda: index(spark, lake),
+        "index": lambda: index(spark, lake, missing=missing),
     }
 
 
@@ -208,11 +211,12 @@ def run_pipeline(
     panel_country: str,
     linelist_country: str,
     day: date | str | None = None,
+    missing: str = "null",
 ) -> list[StageResult]:
     """Every stage from landing to indexing."""
     landing = {
         "land_panel": lambda: land(panel_raw, lake, PANEL, day),
         "land_linelist": lambda: land(linelist_raw, lake, LINE_LIST, day),
     }
-    later = stages_after_landing(spark, lake, panel_country, linelist_country, day)
+    later = stages_after_landing(spark, lake, panel_country, linelist_country, day, missing)
     return run_stages(landing | later)

@@ -30,10 +30,20 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="feedlake-")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/feedlake/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, under this application's id."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/feedlake/{application}/{name}-{uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what this application settled, once nothing reads it any more."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

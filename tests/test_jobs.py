@@ -13,6 +13,7 @@ from feedlake.plans.jobs import (
     format_snapshot,
     index,
     land,
+    model_trend,
     run_pipeline,
     run_stages,
 )
@@ -130,6 +131,13 @@ def test_zero_dialect(spark, finished, tmp_path):
         0, 19, 2, 3, 2, 2, 0.0,
     )
     assert index(spark, other, missing="zero")["documents"] == 40
+    assert model_trend(spark, other, "P")["slope"] == pytest.approx(19.0)
+    [mapping] = Path(other.usage("index/mapping")).glob("part-*")
+    assert json.loads(mapping.read_text())["mappings"]["properties"]["total_icu"] == {
+        "type": "float"
+    }
+    with pytest.raises(ValueError, match="maybe"):
+        combine(spark, other, missing="maybe")
 
 
 def test_fixed_processing_time(spark, finished):
@@ -179,7 +187,7 @@ def test_command_line(spark, sources, tmp_path, capsys):
     arguments = ["--root", str(tmp_path / "lake"), "--day", DAY]
     feeds = ["--panel", str(sources / "panel.csv"), "--linelist", str(sources / "cases.csv")]
     assert main(arguments + feeds) == 0
-    assert main(arguments) == 0
+    assert main([*arguments, "--missing", "zero", "--panel-country", "P"]) == 0
     assert "index: ok" in capsys.readouterr().out
     assert main(["--root", str(tmp_path / "nothing")]) == 1
     [part] = (tmp_path / "lake/usage/trend_metrics").glob("part-*.json")

@@ -253,3 +253,14 @@ def test_settled_table_lives_in_the_shared_folder(spark):
     assert df.count() == 10
     assert all(folder in f for f in df.inputFiles())
     assert shared.scratch_path(spark, "x") != shared.scratch_path(spark, "x")
+
+
+def test_release_deletes_only_this_applications_tables(spark):
+    df = shared.settle(spark.range(3), "gone")
+    other = Path(spark.conf.get(shared.CHECKPOINT_DIR), "feedlake", "another-application")
+    other.mkdir(parents=True, exist_ok=True)
+    [path] = {Path(f.removeprefix("file://")).parent for f in df.inputFiles()}
+    assert path.exists()
+    shared.release(spark)
+    assert not path.exists() and other.exists()
+    assert shared.settle(spark.range(3), "again").count() == 3

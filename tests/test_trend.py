@@ -44,6 +44,11 @@ def test_day_zero_is_the_first_date_even_without_a_value(daily, features):
     assert trend_features(daily).orderBy("date").first().day_number == 0
 
 
+def test_dates_may_be_text(daily, features):
+    text = daily.withColumn("date", daily.date.cast("string"))
+    assert sorted(trend_features(text, country="P").collect()) == sorted(features.collect())
+
+
 def test_split_is_deterministic_and_whole(features):
     train, test = trend_split(features)
     assert train.count() + test.count() == features.count()
