@@ -207,8 +207,8 @@ def bulk_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The combined table against what reading its written copy gives."""
-    source = combined(spark, sf_dir)
+    """The combined table against what reading its written copy gives; one scan of the feeds."""
+    source = settle(combined(spark, sf_dir), "combined")
     path = scratch_path(spark, "daily_comparison")
     write_table(source, path)
     return reconcile(source, spark.read.parquet(path))
