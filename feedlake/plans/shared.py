@@ -1,13 +1,12 @@
 """Intermediate tables in the cluster's shared folder.
 
 A table written there can be read again after any executor is lost, and its size is known to the
-planner. Nothing is kept in executor memory or on a local disk.
+planner. Nothing is kept in executor memory or on a local disk. The library never chooses the
+folder: ``spark.checkpoint.dir`` names it, under any master. Only an entry point may set it.
 """
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,18 +15,11 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; in local mode a temporary one if unset."""
+    """The folder named by ``spark.checkpoint.dir``; an error if it is unset."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
-    return _local_folder()
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="feedlake-")
+    return folder.rstrip("/")
 
 
 def _own_folder(spark: SparkSession) -> str:
@@ -39,11 +31,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_own_folder(spark)}/{name}-{uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes one settled table that nothing reads any more."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def release(spark: SparkSession) -> None:
     """Deletes what this application settled, once nothing reads it any more."""
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    delete_path(spark, _own_folder(spark))
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
