@@ -2,13 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import decontaminate, language, mixing, ngram_join, quality, tokens
+from feedlake.llm import (
+    covertree,
+    decontaminate,
+    html,
+    language,
+    lines,
+    mixing,
+    ngram_join,
+    quality,
+    secrets,
+    tokens,
+)
 from feedlake.llm.common import bucket_of, read_table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by patterns and by the randomness battery."""
+    found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+
+    def listed(spans) -> Column:
+        names = F.array(*[F.lit(kind) for kind in secrets.KINDS])
+        return F.array_join(
+            F.transform(
+                spans,
+                lambda s: F.concat_ws(
+                    ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"),
+                    s["end"].cast("string"),
+                ),
+            ),
+            ",",
+        )
+
+    def count(kind: str) -> Column:
+        place = secrets.KINDS.index(kind)
+        return F.size(F.filter("spans", lambda s: s["kind"] == place)).cast("bigint")
+
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as shards of token sequences in training order."""
     return tokens.write_order(read_table(spark, sf_dir, "documents"))
@@ -39,6 +80,17 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector."""
+    return covertree.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned outside the held-out fold."""
     docs = read_table(spark, sf_dir, "documents")
@@ -49,6 +101,16 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document and those that repeat an earlier one within an edit."""
+    found = lines.find_repeats(read_table(spark, sf_dir, "documents"))
+    dropped = F.size("dropped").cast("bigint")
+    return found.select(
+        "doc_id", "n_lines", dropped.alias("n_dropped"),
+        F.array_join(F.transform("dropped", lambda k: k.cast("string")), ",").alias("dropped"),
+    )
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words and items found in every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,11 +119,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op2_training_order": op2_training_order,
     "op3_mix_sources": op3_mix_sources,
     "op4_ngram_join": op4_ngram_join,
     "op5_quality": op5_quality,
+    "op6_main_text": op6_main_text,
+    "op7_cover_tree": op7_cover_tree,
     "op8_language": op8_language,
+    "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
 TWINS: dict[str, str] = {}
