@@ -27,9 +27,9 @@ from feedlake.plans.shared import settle
 
 WIDTH = 4  # words of an n-gram
 PERCENT = 85  # least similarity
-FREQUENT = 1 << 20  # n-grams whose frequency is known when ordering, at most
-SEEN = 4  # times that a task must meet an n-gram to report it
-GATHERED = 2_000_000  # n-grams that a task counts at once
+FREQUENT = 1 << 22  # n-grams whose frequency is known when ordering, at most
+SEEN = 2  # times that a task must meet an n-gram to report it
+GATHERED = 4_000_000  # n-grams that a task counts at once
 SUFFIX_PARTS = 64  # ranges of the suffix filter
 WANTED = 8_000_000  # classes whose sets are picked out by a list sent to tasks, at most
 
