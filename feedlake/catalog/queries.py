@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedlake.catalog.round_trips import ROUND_TRIPS
 from feedlake.catalog.derived import (
     LINE_LIST_COUNTRY,
     PANEL_COUNTRY,
@@ -30,7 +31,7 @@ from feedlake.operators.daily import (
     linelist_daily_joined,
     panel_daily,
 )
-from feedlake.operators.formatting import format_feed
+from feedlake.operators.formatting import format_feed, typed_feed
 from feedlake.operators.quality import (
     dedupe_rows,
     handle_nulls,
@@ -43,12 +44,14 @@ from feedlake.operators.reports import (
     current_stats,
     first_rows,
     monthly_totals,
+    overall_stats,
     region_totals,
     series_by_country,
     summary_stats,
 )
 from feedlake.operators.trend import (
     fit_trend,
+    trend_coefficients,
     predict_days,
     trend_features,
     trend_forecast,
@@ -58,6 +61,7 @@ from feedlake.operators.trend import (
 from feedlake.plans.jobs import Lake, combine, format_snapshot, land
 from feedlake.plans.shared import scratch_path, settle
 from feedlake.sinks import (
+    ZERO_INDEX_FIELDS,
     bulk_lines,
     land_snapshot,
     reconcile,
@@ -85,7 +89,8 @@ def panel_daily_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_daily_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panel_daily(panel_format(spark, sf_dir), categories=None)
+    """Built from every row: the form that adds up all categories does not filter."""
+    return panel_daily(typed_feed(panel_raw(spark, sf_dir), PANEL, PANEL_COUNTRY), categories=None)
 
 
 def panel_daily_brief(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +167,8 @@ def nulls_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nulls_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return handle_nulls(linelist_format(spark, sf_dir).select("case_id", "age"), "drop")
+    cases = linelist_format(spark, sf_dir).select("case_id", "age")
+    return handle_nulls(cases, "drop", ("case_id", "age"))
 
 
 def date_multiformat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,6 +203,33 @@ def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_documents(combined(spark, sf_dir), keep=("country", "date"))
 
 
+def index_documents_dag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine-field documents of the zero-filled table."""
+    zero = combine_zero(spark, sf_dir)
+    return to_documents(zero, "zero", ZERO_INDEX_FIELDS, keep=("country", "date"))
+
+
+def feed_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first cases with the feed's display columns."""
+    cases = linelist_format(spark, sf_dir)
+    return first_rows(cases, 5, ("report_date", "case_id"), LINE_LIST.display)
+
+
+def feed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and types of the formatted case table, with the rows that have a value."""
+    cases = linelist_format(spark, sf_dir)
+    counts = cases.agg(*[F.count(c).alias(c) for c in cases.columns])
+    described = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("column"), F.lit(kind).alias("type"), F.col(name).alias("present")
+            )
+            for name, kind in cases.dtypes
+        ]
+    )
+    return counts.select(F.inline(described))
+
+
 def index_documents_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_documents(combined(spark, sf_dir), "zero", keep=("country", "date"))
 
@@ -243,7 +276,7 @@ def linelist_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line list landed as CSV, read by its day and formatted."""
     raw_root = scratch_path(spark, "raw")
     land_snapshot(linelist_raw(spark, sf_dir), raw_root, LINE_LIST, LANDING_DAY)
-    raw = read_snapshot(spark, raw_root, LINE_LIST, LANDING_DAY, or_latest=False)
+    raw = read_snapshot(spark, raw_root, LINE_LIST, LANDING_DAY)
     return format_feed(raw, LINE_LIST, LINE_LIST_COUNTRY).drop("ingestion_date")
 
 
@@ -280,11 +313,11 @@ def split_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trend_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slope and intercept in one aggregation over the day table."""
     train, _ = trend_split(_settled_features(spark, sf_dir))
-    model = fit_trend(train)
-    return spark.range(1).select(
-        F.round(F.lit(float(model.coefficients[0])), 6).alias("slope"),
-        F.round(F.lit(float(model.intercept)), 6).alias("intercept"),
+    fit = trend_coefficients(train)
+    return fit.select(
+        F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept")
     )
 
 
@@ -333,6 +366,7 @@ QUERIES = {
     "partitioned_usage": partitioned_usage,
     "pipeline_summary": pipeline_summary,
     "index_documents": index_documents,
+    "index_documents_dag": index_documents_dag,
     "index_documents_zero": index_documents_zero,
     "bulk_index": bulk_index,
     "sink_reconcile": sink_reconcile,
@@ -341,4 +375,8 @@ QUERIES = {
     "trend_fit": trend_fit,
     "trend_metrics": trend_quality,
     "trend_forecast": forecast,
+    "overall_stats": lambda spark, sf_dir: overall_stats(combined(spark, sf_dir)),
+    "feed_sample": feed_sample,
+    "feed_schema": feed_schema,
+    **ROUND_TRIPS,
 }

@@ -5,6 +5,10 @@ Written against the meaning of each operator, not generated from its plan.
 
 from __future__ import annotations
 
+import json
+
+from feedlake.sinks import index_mapping
+
 PANEL_RAW = """panel_raw as (
   select cast(l_suppkey % 20 as varchar) as dep,
     case l_returnflag when 'A' then '0' when 'R' then '1' else '2' end as sexe,
@@ -32,7 +36,7 @@ PANEL_FORMAT = """panel_format as (
   where hospitalizations is not null or icu_patients is not null or deaths is not null)"""
 
 
-def _panel_sums(name: str, condition: str) -> str:
+def _panel_sums(name: str, condition: str, rows: str = "panel_format") -> str:
     return f"""{name} as (
   select date, country,
     cast(sum(hospitalizations) as bigint) as total_hospitalizations,
@@ -40,12 +44,12 @@ def _panel_sums(name: str, condition: str) -> str:
     cast(sum(deaths) as bigint) as total_deaths,
     cast(sum(returned_home) as bigint) as total_recovered,
     count(distinct department_code) as regions_count
-  from panel_format where date is not null and {condition}
+  from {rows} where date is not null and {condition}
   group by date, country)"""
 
 
 PANEL_DAILY = _panel_sums("panel_daily", "sex in ('ALL', '0')")
-PANEL_DAILY_ALL = _panel_sums("panel_daily_all", "true")
+PANEL_DAILY_ALL = _panel_sums("panel_daily_all", "true", "panel_typed")
 
 LINELIST_RAW = """linelist_raw as (
   select case when o_orderkey % 97 = 0 then 'unknown'
@@ -176,6 +180,68 @@ def _document(absent: str | None = None) -> str:
     return f"cast(json_object({', '.join(cells)}) as varchar)"
 
 
+COMBINED_ZERO = [*PANEL, PANEL_DAILY_ALL, *LINELIST, LINELIST_DAILY]
+ZERO_ROWS = """select strftime(date, '%Y-%m-%d') as date, country, cast(0 as bigint) as total_cases,
+  coalesce(total_hospitalizations, 0) as total_hospitalizations,
+  coalesce(total_icu, 0) as total_icu, coalesce(total_deaths, 0) as total_deaths,
+  coalesce(total_recovered, 0) as total_recovered, regions_count,
+  cast(0 as double) as avg_age
+from panel_daily_all
+union all
+select strftime(date, '%Y-%m-%d'), country, total_cases, 0, 0, total_deaths, total_recovered,
+  regions_count, avg_age
+from linelist_daily"""
+
+
+def _stage_rows() -> str:
+    counts = {
+        "land_panel": "select count(*) from panel_raw",
+        "land_linelist": "select count(*) from linelist_raw",
+        "format_panel": "select count(*) from panel_format",
+        "format_linelist": "select count(*) from linelist_format",
+        "combine": "select count(*) from combine_daily",
+        "model_trend": "select cast(null as bigint)",
+        "index": "select count(*) from combine_daily",
+    }
+    return " union all ".join(
+        f"select cast({k} as integer) as position, '{stage}' as stage, true as ok, "
+        f"({count}) as counted"
+        for k, (stage, count) in enumerate(counts.items())
+    )
+
+
+def _header_rows() -> str:
+    outcomes = (
+        ("panel", "accepted", "panel_raw"),
+        ("panel without rea", "panel lacks the columns rea", "panel_raw"),
+        ("cases", "accepted", "linelist_raw"),
+        ("cases without dates", "linelist has no date column", "linelist_raw"),
+        ("cases without places", "linelist has no location column", "linelist_raw"),
+    )
+    return " union all ".join(
+        f"select '{feed}' as feed, '{outcome}' as outcome, true as as_expected, "
+        f"count(*) as rows from {rows}"
+        for feed, outcome, rows in outcomes
+    )
+
+
+CASE_COLUMNS = {
+    "report_date": "date",
+    "case_id": "string",
+    "department_code": "string",
+    "department_name": "string",
+    "age": "int",
+    "sex": "string",
+    "status": "string",
+    "country": "string",
+}
+ZERO_DOCUMENT = """cast(json_object('date', date, 'country', country,
+  'total_cases', cast(total_cases as double),
+  'total_hospitalizations', cast(total_hospitalizations as double),
+  'total_icu', cast(total_icu as double), 'total_deaths', cast(total_deaths as double),
+  'total_recovered', cast(total_recovered as double), 'regions_count', regions_count,
+  'avg_age', coalesce(avg_age, 0)) as varchar)"""
+
 TWINS = {
     "panel_format": PANEL_FORMAT_ROWS,
     "linelist_format": LINELIST_FORMAT_ROWS,
@@ -216,19 +282,7 @@ left join (select report_date as date, count(*) as n
     then round(total_icu / total_hospitalizations * 100, 2) end as icu_rate
 from combine_daily""",
     ),
-    "combine_daily_zero": _with(
-        [*PANEL, PANEL_DAILY_ALL, *LINELIST, LINELIST_DAILY],
-        """select strftime(date, '%Y-%m-%d') as date, country, cast(0 as bigint) as total_cases,
-  coalesce(total_hospitalizations, 0) as total_hospitalizations,
-  coalesce(total_icu, 0) as total_icu, coalesce(total_deaths, 0) as total_deaths,
-  coalesce(total_recovered, 0) as total_recovered, regions_count,
-  cast(0 as double) as avg_age
-from panel_daily_all
-union all
-select strftime(date, '%Y-%m-%d'), country, total_cases, 0, 0, total_deaths, total_recovered,
-  regions_count, avg_age
-from linelist_daily""",
-    ),
+    "combine_daily_zero": _with(COMBINED_ZERO, ZERO_ROWS),
     "summary_stats": SUMMARY_ROWS,
     "country_stats": _with(
         COMBINED,
@@ -301,7 +355,8 @@ from linelist_format""",
     "dedupe_rows": """select distinct o_orderkey, o_custkey, o_orderstatus from (
   select * from orders union all select * from orders where o_orderkey % 10 = 0)""",
     "range_filter": _with(
-        LINELIST, "select case_id, age from linelist_format where age between 0 and 120"
+        LINELIST,
+        "select case_id, age from linelist_format where age between 0 and 120 or age is null",
     ),
     "null_fill": _with(
         LINELIST,
@@ -383,4 +438,82 @@ from (
   select unnest(generate_series(m + 1, m + 30)) as d
   from (select max(day_number) as m from trend_features))""",
     ),
+    "overall_stats": _with(
+        COMBINED,
+        """select count(*) as records, count(distinct country) as countries,
+  min(date) as first_date, max(date) as last_date
+from combine_daily""",
+    ),
+    "feed_sample": _with(
+        LINELIST,
+        """select report_date, department_name, age, sex, status, country
+from linelist_format order by report_date, case_id limit 5""",
+    ),
+    "feed_schema": _with(
+        LINELIST,
+        " union all ".join(
+            f"select '{column}' as \"column\", '{kind}' as type, count({column}) as present "
+            "from linelist_format"
+            for column, kind in CASE_COLUMNS.items()
+        ),
+    ),
+    "index_documents_dag": _with(
+        [*COMBINED_ZERO, f"zero_daily as ({ZERO_ROWS})"],
+        f"select country, date, {ZERO_DOCUMENT} as document from zero_daily",
+    ),
+    "snapshot_fallback": _with(
+        [PANEL_RAW],
+        "select sexe, dep, count(*) as rows_read from panel_raw where sexe = '0' group by sexe, dep",
+    ),
+    "landing_lines": _with(
+        [PANEL_RAW],
+        """select case when sexe = '0' then dep || chr(8232) || 'end' else dep end as dep, jour, hosp
+from panel_raw""",
+    ),
+    "summary_csv": SUMMARY_ROWS,
+    "bulk_files": _with(
+        COMBINED,
+        f"""select value, count(*) as n from (
+  select {_document()} as value from combine_daily
+  union all
+  select '{{"index":{{"_index":"daily-comparison"}}}}' from combine_daily
+  union all
+  select '{json.dumps(index_mapping())}')
+group by value""",
+    ),
+    "pipeline_index": _with(
+        COMBINED, "select country, count(*) as documents from combine_daily group by country"
+    ),
+    "stage_results": _with(COMBINED, _stage_rows()),
+    "header_checks": _with([PANEL_RAW, LINELIST_RAW], _header_rows()),
+    "encoded_scan": _with(
+        [LINELIST_RAW],
+        "select id_de_caso, departamento_nom || ' á' as departamento_nom from linelist_raw",
+    ),
+    "fallback_scan": """select cast(o_orderkey as varchar) as order_key, o_orderstatus as status
+from orders""",
+    "inferred_scan": _with(
+        COMBINED,
+        """select date, country, total_deaths, mortality_rate, 'int' as inferred_as
+from combine_daily""",
+    ),
+    "stamped": _with(
+        COMBINED,
+        """select '2024-01-31' as stamp, count(*) as n from linelist_format
+union all
+select '2024-01-31 12:00:00', count(*) from combine_daily""",
+    ),
+    "partitioned_append": _with(
+        COMBINED,
+        """select cast(year(date) as integer) as year, cast(month(date) as integer) as month,
+  count(*) filter (where year(date) <> 1995 or country = 'PANEL')
+    * (case when year(date) = 1994 then 2 else 1 end) as days
+from combine_daily group by year(date), month(date)""",
+    ),
+    "sorted_csv": _with(
+        COMBINED, "select count(*) as rows, true as in_order from combine_daily"
+    ),
 }
+# The same results, read back from where a sink or a job left them.
+TWINS["metrics_file"] = TWINS["trend_metrics"]
+TWINS["pipeline_trend"] = TWINS["trend_forecast"]

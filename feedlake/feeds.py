@@ -146,17 +146,3 @@ COMBINED_SCHEMA = T.StructType(
         T.StructField("processed_at", T.TimestampType()),
     ]
 )
-
-SUMMARY_COLUMNS = (
-    "country",
-    "first_date",
-    "last_date",
-    "total_days",
-    "cumulative_cases",
-    "cumulative_deaths",
-    "cumulative_recovered",
-    "peak_hospitalizations",
-    "peak_icu",
-    "avg_mortality_rate",
-    "avg_recovery_rate",
-)

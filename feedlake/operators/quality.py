@@ -48,6 +48,14 @@ def require_headers(df: DataFrame, feed: Feed) -> None:
             raise FeedRejected(f"{feed.name} has no {need} column")
 
 
+def require_types(df: DataFrame, feed: Feed) -> None:
+    """Fails when a formatted column has another type than the feed's contract says."""
+    contract = {f.name: f.dataType for f in feed.formatted_schema.fields}
+    wrong = [f.name for f in df.schema.fields if contract.get(f.name, f.dataType) != f.dataType]
+    if wrong:
+        raise FeedRejected(f"{feed.name} has other types than agreed in {', '.join(wrong)}")
+
+
 def warn_if_unexpected(df: DataFrame, feed: Feed, at_least: int = 2) -> bool:
     """Warns, and returns False, when too few of the expected formatted columns exist."""
     found = [c for c in feed.expected if c in df.columns]
@@ -112,20 +120,29 @@ def in_range(column: str, low: int = AGE_RANGE[0], high: int = AGE_RANGE[1]) ->
 
 
 def range_filter(
-    df: DataFrame, column: str, low: int = AGE_RANGE[0], high: int = AGE_RANGE[1]
+    df: DataFrame,
+    column: str,
+    low: int = AGE_RANGE[0],
+    high: int = AGE_RANGE[1],
+    keep_null: bool = True,
 ) -> DataFrame:
-    """Rows with a value inside the range; rows without a value go as well."""
-    return df.where(in_range(column, low, high))
+    """Rows with a value inside the range, and those without a value unless told otherwise."""
+    return df.where(F.coalesce(in_range(column, low, high), F.lit(keep_null)))
 
 
 def handle_nulls(
     df: DataFrame, strategy: str = "drop", columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """``drop`` rows with a NULL, ``fill`` ints with 0 and text with ``UNKNOWN``, or ``keep``."""
+    """``drop`` rows with a NULL, ``fill`` ints with 0 and text with ``UNKNOWN``, or ``keep``.
+
+    Dropping needs the columns that count: over all of them few rows of a feed would stay.
+    """
     subset = list(columns) if columns else df.columns
     if strategy == "keep":
         return df
     if strategy == "drop":
+        if not columns:
+            raise ValueError("name the columns whose NULLs drop a row")
         return df.na.drop(subset=subset)
     if strategy != "fill":
         raise ValueError(f"unknown strategy {strategy!r}")

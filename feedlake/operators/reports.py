@@ -55,6 +55,16 @@ def country_stats(combined: DataFrame) -> DataFrame:
     return per_country.withColumn("share_pct", share)
 
 
+def overall_stats(combined: DataFrame) -> DataFrame:
+    """One row over all countries: records, countries and the whole period."""
+    return combined.agg(
+        F.count("*").alias("records"),
+        F.count_distinct("country").alias("countries"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+    )
+
+
 def monthly_totals(combined: DataFrame) -> DataFrame:
     """Hospitalizations, deaths, intensive care and recoveries per country and month."""
     measures = ("total_hospitalizations", "total_deaths", "total_icu", "total_recovered")

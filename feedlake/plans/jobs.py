@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from feedlake.feeds import LINE_LIST, PANEL, Feed
 from feedlake.operators.combine import combine_daily, combine_daily_zero
 from feedlake.operators.daily import linelist_daily, panel_daily
-from feedlake.operators.formatting import format_feed
+from feedlake.operators.formatting import format_feed, typed_feed
 from feedlake.operators.quality import (
     counted,
     require_headers,
     require_rows,
+    require_types,
     warn_if_unexpected,
 )
 from feedlake.operators.reports import summary_stats
@@ -44,7 +45,7 @@ from feedlake.sinks import (
     write_sorted,
     write_table,
 )
-from feedlake.sources import read_snapshot
+from feedlake.sources import read_snapshot, read_text_csv, snapshot_day
 
 log = logging.getLogger(__name__)
 
@@ -62,6 +63,10 @@ class Lake:
     def formatted(self, feed: Feed) -> str:
         return f"{self.root}/formatted/{feed.name}"
 
+    def all_rows(self, feed: Feed) -> str:
+        """The typed feed without the row filter, which the zero-filled form is built from."""
+        return f"{self.root}/formatted/{feed.name}_all_rows"
+
     def usage(self, table: str) -> str:
         return f"{self.root}/usage/{table}"
 
@@ -80,12 +85,15 @@ class StageResult:
 def land(
     source: DataFrame, lake: Lake, feed: Feed, day: date | str | None = None
 ) -> dict:
-    """Checks a raw feed and writes it as the snapshot of a day."""
+    """Checks a raw feed and writes it as the snapshot of a day; every row must come back."""
     require_rows(source, feed.name)
     require_headers(source, feed)
     rows, landed = counted(source, f"{feed.name}_landed")
     path = land_snapshot(rows, lake.raw, feed, day)
-    return {"path": path, "rows": landed.get["rows"]}
+    read_back = read_text_csv(source.sparkSession, path).count()
+    if read_back != landed.get["rows"]:
+        raise RuntimeError(f"{landed.get['rows']} rows were landed but {read_back} are read back")
+    return {"path": path, "rows": read_back}
 
 
 def format_snapshot(
@@ -95,18 +103,30 @@ def format_snapshot(
     country: str,
     day: date | str | None = None,
     ingestion_date: date | None = None,
-    or_latest: bool = True,
+    all_rows: bool = False,
 ) -> dict:
-    """Types and filters a snapshot into the formatted layer, counting rows on the way."""
-    raw = read_snapshot(spark, lake.raw, feed, day, or_latest)
-    require_rows(format_feed(raw, feed, country, ingestion_date), f"formatted {feed.name}")
+    """Types and filters a snapshot into the formatted layer, counting rows on the way.
+
+    A named day must have landed; without one it is today's or the latest. With ``all_rows`` the
+    feed is typed but not filtered, into a table of its own.
+    """
+    chosen = snapshot_day(spark, lake.raw, feed, day)
+    raw = read_snapshot(spark, lake.raw, feed, chosen)
+    form = typed_feed if all_rows else format_feed
+    require_rows(form(raw, feed, country, ingestion_date), f"formatted {feed.name}")
     rows, rows_in = counted(raw, f"{feed.name}_in")
-    formatted = format_feed(rows, feed, country, ingestion_date)
+    formatted = form(rows, feed, country, ingestion_date)
     warn_if_unexpected(formatted, feed)
+    require_types(formatted, feed)
     kept, rows_out = counted(formatted, f"{feed.name}_out")
-    path = lake.formatted(feed)
+    path = lake.all_rows(feed) if all_rows else lake.formatted(feed)
     write_table(kept, path)
-    return {"path": path, "rows_in": rows_in.get["rows"], "rows_out": rows_out.get["rows"]}
+    return {
+        "path": path,
+        "day": chosen,
+        "rows_in": rows_in.get["rows"],
+        "rows_out": rows_out.get["rows"],
+    }
 
 
 def combine(
@@ -119,7 +139,9 @@ def combine(
     """
     if missing not in ("null", "zero"):
         raise ValueError(f"unknown missing {missing!r}")
-    panel = spark.read.parquet(lake.formatted(PANEL))
+    panel = spark.read.parquet(
+        lake.all_rows(PANEL) if missing == "zero" else lake.formatted(PANEL)
+    )
     cases = spark.read.parquet(lake.formatted(LINE_LIST))
     daily_path = lake.usage("daily_comparison")
     if missing == "zero":
@@ -130,7 +152,7 @@ def combine(
         )
     write_sorted(daily, daily_path)
     written = spark.read.parquet(daily_path)
-    write_csv(written, lake.usage("daily_comparison_csv"))
+    write_csv(written, lake.usage("daily_comparison_csv"), keys=("date", "country"))
     # Counted from the written files: sorting runs its input twice, which an observation would add.
     details = {"path": daily_path, "rows": written.count()}
     if missing != "zero":
@@ -195,7 +217,9 @@ def stages_after_landing(
 ) -> dict[str, Callable[[], dict]]:
     """Formatting to indexing, in order, over the snapshots in the lake."""
     return {
-        "format_panel": lambda: format_snapshot(spark, lake, PANEL, panel_country, day),
+        "format_panel": lambda: format_snapshot(
+            spark, lake, PANEL, panel_country, day, all_rows=missing == "zero"
+        ),
         "format_linelist": lambda: format_snapshot(spark, lake, LINE_LIST, linelist_country, day),
         "combine": lambda: combine(spark, lake, missing),
         "model_trend": lambda: model_trend(spark, lake, panel_country),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from feedlake.functions import real_or_null, whole_or_null
 
-# Document fields with their index types, and documents per bulk request.
+# Document fields with their index types.
 INDEX_FIELDS = {
     "date": "date",
     "country": "keyword",
@@ -40,7 +40,7 @@ ZERO_INDEX_FIELDS = {
     "regions_count": "integer",
     "avg_age": "float",
 }
-BULK_SIZE = 500
+BULK_FILE = 100_000  # documents of a bulk file; a sender cuts its own requests from it
 COERCIONS = {"integer": whole_or_null, "float": real_or_null}
 
 
@@ -88,7 +88,7 @@ def write_bulk(
     documents: DataFrame,
     path: str,
     index: str,
-    batch: int = BULK_SIZE,
+    batch: int = BULK_FILE,
     fields: Mapping[str, str] = INDEX_FIELDS,
 ) -> None:
     """Replaces the target with its mapping and with bulk files of at most ``batch`` documents."""

@@ -7,18 +7,31 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedlake.feeds import Feed
 from feedlake.sources.snapshots import snapshot_path
 
 
+# Stands for a line break inside a landed cell: the line separator character.
+LINE_BREAK = "\u2028"
+
+
 def land_snapshot(
     df: DataFrame, raw_root: str, feed: Feed, day: date | str | None = None, sep: str = ","
 ) -> str:
-    """Writes a raw feed as CSV into its dated directory, blanks kept; returns the path."""
+    """Writes a raw feed as CSV into its dated directory, blanks kept; returns the path.
+
+    Line breaks inside cells become :data:`LINE_BREAK`, so that every row is one line and files can
+    be split.
+    """
     path = snapshot_path(raw_root, feed, day or date.today())
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    one_line = df.withColumns(
+        {c: F.regexp_replace(F.col(f"`{c}`"), "\r\n|\r|\n", LINE_BREAK) for c in texts}
+    )
     (
-        df.write.mode("overwrite")
+        one_line.write.mode("overwrite")
         .option("header", True)
         .option("sep", sep)
         .option("ignoreLeadingWhiteSpace", False)
@@ -38,9 +51,11 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str] = ("date", "count
     write_table(df.orderBy(*keys), path)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header; ``single_file`` is for results of a few rows."""
-    out = df.coalesce(1) if single_file else df
+def write_csv(
+    df: DataFrame, path: str, single_file: bool = False, keys: Sequence[str] = ()
+) -> None:
+    """CSV with a header, in the order of ``keys``; ``single_file`` is for results of a few rows."""
+    out = df.coalesce(1) if single_file else df.orderBy(*keys) if keys else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 

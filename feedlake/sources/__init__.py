@@ -7,7 +7,12 @@ from feedlake.sources.delimited import (
     read_text_csv,
 )
 from feedlake.sources.limits import capped
-from feedlake.sources.snapshots import latest_snapshot, read_snapshot, snapshot_path
+from feedlake.sources.snapshots import (
+    latest_snapshot,
+    read_snapshot,
+    snapshot_day,
+    snapshot_path,
+)
 
 __all__ = [
     "capped",
@@ -17,5 +22,6 @@ __all__ = [
     "read_detected_csv",
     "read_snapshot",
     "read_text_csv",
+    "snapshot_day",
     "snapshot_path",
 ]

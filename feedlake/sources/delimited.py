@@ -11,9 +11,10 @@ from feedlake.feeds import COMBINED_SCHEMA
 SEPARATORS = (",", "\t", ";")
 
 
-def detect_separator(spark: SparkSession, path: str) -> str:
+def detect_separator(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
     """The separator that occurs most often in the first line; only that line is fetched."""
-    header = spark.read.text(path).first()
+    whole_lines = spark.read.option("sep", "\x01").option("quote", "").option("encoding", encoding)
+    header = whole_lines.schema("value string").csv(path).first()
     return max(SEPARATORS, key=header.value.count) if header else SEPARATORS[0]
 
 
@@ -36,7 +37,7 @@ def read_detected_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -
     If the likeliest one yields a single column (a quoted header can mislead), the first other
     one that yields more is used. Each try reads the header line only.
     """
-    likeliest = detect_separator(spark, path)
+    likeliest = detect_separator(spark, path, encoding)
     df = read_text_csv(spark, path, likeliest, encoding)
     if len(df.columns) > 1:
         return df

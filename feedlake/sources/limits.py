@@ -5,14 +5,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-# Fixed value: rows taken from a capped source.
-SOURCE_CAP = 100_000
+from feedlake.plans.shared import settle
 
 
-def capped(df: DataFrame, n: int = SOURCE_CAP, order_by: Sequence[str] = ()) -> DataFrame:
-    """At most ``n`` rows: the first by a key, or any if no key is given.
+def capped(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows by a key; what is cut off is the caller's wish, so both are required.
 
-    With a key each task keeps its own first ``n``, so no full sort takes place.
+    Rows are sorted into ranges of the key and settled; the ranges' row counts tell which rows come
+    first. No task sees more than its range, however large ``n`` is.
     """
-    return (df.orderBy(*order_by) if order_by else df).limit(n)
+    ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    ranged = settle(ranged.withColumn("_place", F.monotonically_increasing_id()), "capped")
+    part, place = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = ranged.groupBy(part.alias("part")).agg(F.count("*").alias("rows")).collect()
+    left, first = n, F.lit(False)
+    for row in sorted(counts, key=lambda row: row["part"]):
+        if left <= 0:
+            break
+        whole = row["rows"] <= left
+        first = first | ((part == row["part"]) & (F.lit(True) if whole else place < left))
+        left -= row["rows"]
+    return ranged.where(first).drop("_place")

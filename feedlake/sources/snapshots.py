@@ -6,6 +6,7 @@ the chosen directory is listed and read however many days have landed.
 
 from __future__ import annotations
 
+import logging
 import re
 from datetime import date
 
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from feedlake.feeds import Feed
 from feedlake.sources.delimited import read_detected_csv
 
+log = logging.getLogger(__name__)
+
 # Fixed value: the name of a dated directory.
 DATED = re.compile(r"\d{4}-\d{2}-\d{2}")
 
@@ -23,14 +26,27 @@ def snapshot_path(raw_root: str, feed: Feed, day: date | str) -> str:
 
 
 def snapshot_days(spark: SparkSession, raw_root: str, feed: Feed) -> list[str]:
-    """The days landed so far, in order; works on any file system Spark can reach."""
+    """The days that hold data, in order; works on any file system Spark can reach.
+
+    A folder that a failed write left without a data file is no snapshot; one whose name is no
+    day is logged.
+    """
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(f"{raw_root.rstrip('/')}/{feed.name}")
     files = folder.getFileSystem(context._jsc.hadoopConfiguration())
     if not files.exists(folder):
         return []
-    names = (entry.getPath().getName() for entry in files.listStatus(folder))
-    return sorted(name for name in names if DATED.fullmatch(name))
+    days = []
+    for entry in files.listStatus(folder):
+        name = entry.getPath().getName()
+        if not DATED.fullmatch(name):
+            log.warning("%s is not named after a day and is left out", entry.getPath())
+        elif any(
+            part.getLen() > 0 and part.getPath().getName()[0] not in "_."
+            for part in files.listStatus(entry.getPath())
+        ):
+            days.append(name)
+    return sorted(days)
 
 
 def latest_snapshot(spark: SparkSession, raw_root: str, feed: Feed) -> str:
@@ -41,16 +57,26 @@ def latest_snapshot(spark: SparkSession, raw_root: str, feed: Feed) -> str:
     return days[-1]
 
 
+def snapshot_day(
+    spark: SparkSession, raw_root: str, feed: Feed, day: date | str | None = None
+) -> str:
+    """The day to read: the one named, which must have landed; else today's or the latest."""
+    days = snapshot_days(spark, raw_root, feed)
+    wanted = str(day or date.today())
+    if wanted in days:
+        return wanted
+    if day is not None:
+        raise FileNotFoundError(f"no snapshot of {feed.name} for {wanted} under {raw_root}")
+    return latest_snapshot(spark, raw_root, feed)
+
+
 def read_snapshot(
     spark: SparkSession,
     raw_root: str,
     feed: Feed,
     day: date | str | None = None,
-    or_latest: bool = True,
     encoding: str = "UTF-8",
 ) -> DataFrame:
-    """The snapshot of a day (today if none is given), else the latest one if allowed."""
-    wanted = str(day or date.today())
-    if or_latest and wanted not in snapshot_days(spark, raw_root, feed):
-        wanted = latest_snapshot(spark, raw_root, feed)
-    return read_detected_csv(spark, snapshot_path(raw_root, feed, wanted), encoding)
+    """The snapshot of :func:`snapshot_day`."""
+    chosen = snapshot_day(spark, raw_root, feed, day)
+    return read_detected_csv(spark, snapshot_path(raw_root, feed, chosen), encoding)

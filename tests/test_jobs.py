@@ -1,4 +1,5 @@
 import json
+import shutil
 from datetime import datetime
 from pathlib import Path
 
@@ -123,12 +124,14 @@ def test_running_again_replaces_everything(spark, finished, sources):
 def test_zero_dialect(spark, finished, tmp_path):
     lake, _ = finished
     other = Lake(str(tmp_path))
-    for feed in (PANEL, LINE_LIST):
-        spark.read.parquet(lake.formatted(feed)).write.parquet(other.formatted(feed))
+    shutil.copytree(lake.raw, other.raw)
+    kept = format_snapshot(spark, other, PANEL, "P", DAY, all_rows=True)
+    assert (kept["day"], kept["rows_in"], kept["rows_out"]) == (DAY, 120, 120)
+    format_snapshot(spark, other, LINE_LIST, "L", DAY)
     assert combine(spark, other, missing="zero")["rows"] == 40
     daily = spark.read.parquet(other.usage("daily_comparison"))
     assert daily.where("country = 'P' and date = '2020-04-01'").first()[2:] == (
-        0, 19, 2, 3, 2, 2, 0.0,
+        0, 19, 2, 3, 11, 3, 0.0,
     )
     assert index(spark, other, missing="zero")["documents"] == 40
     assert model_trend(spark, other, "P")["slope"] == pytest.approx(19.0)
@@ -159,6 +162,24 @@ def test_later_stages_run_after_a_failure():
     ]
 
 
+def test_a_refused_landing_is_not_replaced_by_an_older_day(spark, sources, tmp_path):
+    lake = Lake(str(tmp_path))
+    panel, _ = read_sources(spark, sources)
+    land(panel, lake, PANEL, DAY)
+    with pytest.raises(FeedRejected):
+        land(panel.drop("rea"), lake, PANEL, "2024-02-01")
+    with pytest.raises(FileNotFoundError, match="2024-02-01"):
+        format_snapshot(spark, lake, PANEL, "P", "2024-02-01")
+    assert format_snapshot(spark, lake, PANEL, "P")["day"] == DAY
+
+
+def test_daily_csv_is_in_key_order(spark, finished):
+    lake, _ = finished
+    parts = sorted(Path(lake.usage("daily_comparison_csv")).glob("part-*.csv"))
+    keys = [tuple(x.split(",")[:2]) for p in parts for x in p.read_text().splitlines()[1:]]
+    assert len(keys) == 40 and keys == sorted(keys)
+
+
 def test_missing_layers_are_reported(spark, tmp_path):
     results = run_stages(
         {

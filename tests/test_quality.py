@@ -94,10 +94,12 @@ def test_dedupe_collapses_a_hot_row(spark):
 
 def test_range(spark):
     df = spark.createDataFrame([(-1,), (0,), (120,), (121,), (None,)], "age int")
-    assert [r.age for r in range_filter(df, "age").orderBy("age").collect()] == [0, 120]
+    kept = range_filter(df, "age").orderBy("age").collect()
+    assert [r.age for r in kept] == [None, 0, 120]
+    assert range_filter(df, "age", keep_null=False).count() == 2
     flags = [r.f for r in df.select(in_range("age").alias("f")).collect()]
     assert flags == [False, True, True, False, None]
-    assert range_filter(df, "age", 121, 130).count() == 1
+    assert range_filter(df, "age", 121, 130, keep_null=False).count() == 1
 
 
 def test_null_strategies(spark):
@@ -105,7 +107,9 @@ def test_null_strategies(spark):
         [(1, 2, "x", 1.0), (None, None, None, None)], "a int, b long, c string, d double"
     )
     assert handle_nulls(df, "keep").count() == 2
-    assert handle_nulls(df, "drop").count() == 1
+    assert handle_nulls(df, "drop", ["a"]).count() == 1
+    with pytest.raises(ValueError, match="name the columns"):
+        handle_nulls(df, "drop")
     assert tuple(handle_nulls(df, "fill").orderBy("a").first()) == (0, 0, "UNKNOWN", None)
     assert tuple(handle_nulls(df, "fill", ["c"]).orderBy("c").first()) == (
         None,

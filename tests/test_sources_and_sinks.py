@@ -21,6 +21,7 @@ from feedlake.sinks import (
     write_sorted,
     write_table,
 )
+from feedlake.sinks.tables import LINE_BREAK
 from feedlake.sources import (
     capped,
     detect_separator,
@@ -110,9 +111,23 @@ def test_snapshots(spark, tmp_path):
     by_day = read_snapshot(spark, raw, PANEL, "2023-12-31")
     assert [tuple(r) for r in by_day.collect()] == [("old", " m ")]
     assert read_snapshot(spark, raw, PANEL).count() == 2
-    assert read_snapshot(spark, raw, PANEL, "2025-01-01").count() == 2
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        read_snapshot(spark, raw, PANEL, "2025-01-01", or_latest=False)
+    Path(raw, "panel", "2024-02-01").mkdir()  # left without data by a failed write
+    assert latest_snapshot(spark, raw, PANEL) == "2024-01-02"
+    assert read_snapshot(spark, raw, PANEL).count() == 2
+    for absent in ("2025-01-01", "2024-02-01"):
+        with pytest.raises(FileNotFoundError, match=absent):
+            read_snapshot(spark, raw, PANEL, absent)
+
+
+def test_line_breaks_in_cells_are_replaced(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    rows = spark.createDataFrame([("01", "x\ny"), ("02", "a\r\nb\rc")], "dep string, note string")
+    land_snapshot(rows, raw, PANEL, "2024-01-01")
+    read = read_snapshot(spark, raw, PANEL, "2024-01-01").orderBy("dep")
+    assert [tuple(r) for r in read.collect()] == [
+        ("01", f"x{LINE_BREAK}y"),
+        ("02", f"a{LINE_BREAK}b{LINE_BREAK}c"),
+    ]
 
 
 def test_only_the_chosen_snapshot_is_scanned(spark, tmp_path):
@@ -133,8 +148,11 @@ def test_landing_again_replaces_the_day(spark, tmp_path):
 def test_capped(spark):
     df = spark.range(1000).repartition(9)
     assert sorted(r.id for r in capped(df, 5, ["id"]).collect()) == [0, 1, 2, 3, 4]
-    assert capped(df, 7).count() == 7
-    assert capped(df, 5000).count() == 1000
+    assert sorted(r.id for r in capped(df, 700, ["id"]).collect()) == list(range(700))
+    assert capped(df, 5000, ["id"]).count() == 1000
+    assert capped(df, 0, ["id"]).count() == 0
+    same = df.selectExpr("id % 2 as k")
+    assert capped(same, 7, ["k"]).count() == 7
 
 
 def combined(spark, *rows):
@@ -218,7 +236,7 @@ def test_bulk_files_keep_pairs_together_and_hold_one_batch(spark, tmp_path):
     documents = spark.range(1200).select(F.to_json(F.struct("id")).alias("document"))
     path = str(tmp_path / "index")
     for _ in range(2):  # the second run replaces the first
-        write_bulk(documents.coalesce(1), path, "days")
+        write_bulk(documents.coalesce(1), path, "days", batch=500)
     files = sorted((tmp_path / "index" / "bulk").glob("part-*"))
     lines = [f.read_text().splitlines() for f in files]
     assert sorted(len(part) // 2 for part in lines) == [200, 500, 500]
