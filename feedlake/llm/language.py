@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.common import map_rows, text_key
 
-PER_LANGUAGE = 400  # rows of each language that the fit sees, at most about
+PER_LANGUAGE = 300  # rows of each language that the fit sees, at most about
 LONGEST_SAMPLE = 100_000  # characters; longer texts are left out of the sample, never of scoring
 LANDMARKS = 192
 VOCABULARY = 8192
@@ -93,10 +93,9 @@ class LanguageModel:
 def fit(texts: list[str], languages: list[str]) -> LanguageModel:
     """The closed-form fit on sampled rows, which must be in a fixed order."""
     names = sorted(set(languages))
-    buckets = [np.unique(ngram_buckets(text)) for text in texts]
     seen = np.zeros(1 << _BITS, np.int64)
-    for own in buckets:
-        seen[own.astype(np.int64)] += 1
+    for text in texts:  # made again below: all at once they would fill the driver
+        seen[np.unique(ngram_buckets(text)).astype(np.int64)] += 1
     chosen = np.argsort(-seen, kind="stable")[: min(VOCABULARY, int((seen > 0).sum()))]
     width = max(len(chosen), 1)
     column_of = np.full(1 << _BITS, width, np.int32)
@@ -104,8 +103,8 @@ def fit(texts: list[str], languages: list[str]) -> LanguageModel:
     if not texts:
         return LanguageModel([], column_of, np.zeros((width, 1), np.uint8), np.zeros((1, 0)))
     presence = np.zeros((len(texts), width + 1), np.float32)
-    for row, own in zip(presence, buckets, strict=True):
-        row[column_of[own]] = 1
+    for row, text in zip(presence, texts, strict=True):
+        row[column_of[ngram_buckets(text)]] = 1
     presence = presence[:, :width]
     picks = np.linspace(0, len(texts) - 1, min(LANDMARKS, len(texts))).astype(int)
     model = LanguageModel(names, column_of, presence[picks].T.astype(np.uint8), np.zeros((1, 1)))

@@ -27,7 +27,7 @@ from feedlake.plans.shared import settle
 
 WIDTH = 4  # words of an n-gram
 PERCENT = 85  # least similarity
-FREQUENT = 1 << 22  # n-grams whose frequency is known when ordering, at most
+FREQUENT = 1 << 21  # n-grams whose frequency is known when ordering, at most
 SEEN = 2  # times that a task must meet an n-gram to report it
 GATHERED = 4_000_000  # n-grams that a task counts at once
 SUFFIX_PARTS = 64  # ranges of the suffix filter
@@ -98,8 +98,9 @@ def frequent_ngrams(docs: DataFrame, width: int, limit: int = FREQUENT) -> np.nd
         if total > limit:
             break
         least = row["tier"]
-    top = counts.where(tier >= least).toPandas().sort_values(["seen", "gram"])
-    return top["gram"].to_numpy(dtype=np.int64).astype(np.uint64)
+    top = counts.where(tier >= least).toArrow()
+    grams, seen = (top.column(c).to_numpy() for c in ("gram", "seen"))
+    return grams[np.lexsort((grams, seen))].astype(np.uint64)
 
 
 def index_prefix(size: Column | np.ndarray, percent: int):
@@ -125,11 +126,15 @@ def needed_overlap(one: Column, other: Column, percent: int) -> Column:
 def classify(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """One row per document: doc_id, text_key, size, class key, its prefix and suffix profile."""
     frequent = frequent_ngrams(docs, width)
+    # Sorted n-grams and their rank by frequency, sent to the tasks once.
     by_value = np.argsort(frequent)
-    known, place = frequent[by_value], by_value  # sorted n-grams and their rank by frequency
+    table = docs.sparkSession.sparkContext.broadcast(
+        (frequent[by_value], by_value.astype(np.int32))
+    )
     step = np.uint64(64 - int(SUFFIX_PARTS).bit_length() + 1)
 
     def prefix(grams: np.ndarray) -> np.ndarray:
+        known, place = table.value
         length = probe_prefix(len(grams), percent)
         if not len(known):
             return grams[:length]
