@@ -51,4 +51,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._settled_at = path  # for discard
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes settled tables, given as :func:`settle` returned them.
+
+    Only where every result made from them has been written itself, so that nothing lost could ask
+    for them again.
+    """
+    for table in tables:
+        delete_path(table.sparkSession, table._settled_at)
