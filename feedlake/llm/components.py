@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.plans.shared import settle
+from feedlake.plans.shared import discard, settle
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``label`` (the least node reachable) for every end of ``edges`` (a, b).
 
+    The result is a settled table, to be discarded by the caller.
+
     Each round takes the least label of all neighbours and then that label's own label, which
     halves long paths. Every round is settled, so a lost executor costs no more than one round.
     Labels of a hub reach its neighbours through a join that splits skewed keys, and are reduced
@@ -27,17 +29,18 @@ def components(edges: DataFrame) -> DataFrame:
     )
     while True:
         heard = (
-            both.join(labels.withColumnRenamed("node", "a"), "a")
+            both.join(labels.select(F.col("node").alias("a"), "label"), "a")
             .groupBy(F.col("b").alias("node"))
             .agg(F.min("label").alias("heard"))
         )
-        better = labels.join(heard, "node").select(
+        better = labels.select("node", "label").join(heard, "node").select(
             "node", F.col("label").alias("old"), F.least("label", "heard").alias("label")
         )
         jumped = better.join(
             labels.select(F.col("node").alias("label"), F.col("label").alias("further")), "label"
         ).select("node", "old", F.least("label", "further").alias("label"))
-        jumped = settle(jumped, "component_labels")
-        labels = jumped.select("node", "label")
-        if jumped.where("old <> label").isEmpty():
+        before, labels = labels, settle(jumped, "component_labels")
+        discard(before)
+        if labels.where("old <> label").isEmpty():
+            discard(both)
             return labels

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import text_key
-from feedlake.plans.shared import settle
+from feedlake.plans.shared import discard, settle
 
 SHORTEST = 16  # characters from which a line may differ by an edit; shorter ones must be equal
 FEW = 500_000  # survivors whose keys are broadcast, at most
@@ -117,7 +117,9 @@ def near_lines(docs: DataFrame, distinct: DataFrame, text: str = "text") -> Data
         .join(mine, ["h1", "h2"])
         .where(F.levenshtein("line", "kept", 1) >= 0)
     )
-    return verified.select("h1", "h2").distinct()
+    near = settle(verified.select("h1", "h2").distinct(), "near_lines")
+    discard(survivors, texts, variants)
+    return near
 
 
 def find_repeats(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import text_key
-from feedlake.plans.shared import settle
+from feedlake.plans.shared import discard, settle
 
 WEIGHTS = (5, 2, 1)  # of the sources by code point, repeating
 MOST_REPEATS = 3  # a target stops at so many times its source's size
@@ -167,7 +167,7 @@ def plan_mix(
         (rate - F.floor(rate)).alias("chance"),
         order.alias("order"),
     )
-    decided = None
+    decided, unused = None, sized
     while True:
         # A group is one block of one source; the number of blocks follows the documents left.
         blocks = F.ceil(F.col("documents") / F.lit(block))
@@ -183,6 +183,9 @@ def plan_mix(
 
         flown = groups.groupBy("source", "part").applyInPandas(fly, schema)
         flown = settle(flown, "mix_flight")
+        if unused is not None:
+            discard(unused)
+            unused = None
         done = flown.where("chance in (0.0, 1.0)").withColumn(
             "copies", F.col("base") + F.col("chance").cast("bigint")
         )

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from feedlake.llm.common import chunks, strings, text_key
 from feedlake.llm.components import components
 from feedlake.llm.wordhash import NOT_BLANK, hash_words, mix, shingle_hashes
-from feedlake.plans.shared import settle
+from feedlake.plans.shared import discard, settle
 
 WIDTH = 4  # words of an n-gram
 PERCENT = 85  # least similarity
@@ -99,6 +99,7 @@ def frequent_ngrams(docs: DataFrame, width: int, limit: int = FREQUENT) -> np.nd
             break
         least = row["tier"]
     top = counts.where(tier >= least).toArrow()
+    discard(counts)
     grams, seen = (top.column(c).to_numpy() for c in ("gram", "seen"))
     return grams[np.lexsort((grams, seen))].astype(np.uint64)
 
@@ -239,7 +240,7 @@ def hub_pairs(entries: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
             F.col("size"), F.col("pos"), F.col("hub_size"), F.col("hub_pos"), percent
         )
     ).select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b"))
-    return shared.drop("hub", "hub_pos", "hub_size"), pairs.distinct()
+    return shared, pairs.distinct()
 
 
 def open_pairs(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -249,9 +250,9 @@ def open_pairs(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     of a single component are left out whole, and so is a member too short after the n-gram for any
     index entry of its bucket.
     """
-    labelled = shared.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-        "label", F.coalesce("label", "cid")
-    )
+    entries = shared.select("gram", "cid", "size", "pos", "indexed")
+    labelled = entries.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left")
+    labelled = labelled.withColumn("label", F.coalesce("label", "cid"))
     labelled = settle(labelled, "ngram_labelled")
     mixed = labelled.groupBy("gram").agg(
         F.min("label").alias("low"),
@@ -266,13 +267,14 @@ def open_pairs(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     )
     members = labelled.join(mixed, "gram").where(F.col("size") - F.col("pos") >= floor)
     members = settle(members.drop("least"), "ngram_open")
+    discard(labelled)
     small = members.where("indexed").select(
         "gram", *[F.col(c).alias(f"{c}_s") for c in ("cid", "size", "pos", "label")]
     )
     first = F.struct("size_s", "cid_s") < F.struct(
         F.col("size").alias("size_s"), F.col("cid").alias("cid_s")
     )
-    return (
+    found = (
         small.join(members, "gram")
         .where(
             first
@@ -285,6 +287,9 @@ def open_pairs(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         .select(F.least("cid_s", "cid").alias("a"), F.greatest("cid_s", "cid").alias("b"))
         .distinct()
     )
+    found = settle(found, "ngram_open_pairs")
+    discard(members)
+    return found
 
 
 def _profile_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -390,7 +395,9 @@ def verify(
             )
 
     links = both.select("a", "b", "grams_a", "grams_b").mapInArrow(similar, "a bigint, b bigint")
-    return settle(links, "ngram_links")
+    links = settle(links, "ngram_links")
+    discard(close, asked, sets)
+    return links
 
 
 def _set_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -429,21 +436,25 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str
     )
     shared, pairs = hub_pairs(prefix_entries(classes, percent), percent)
     near_hub = verify(pairs, classes, narrow, width, percent)
-    rest = open_pairs(shared, components(near_hub), percent)
-    links = near_hub.unionByName(verify(rest, classes, narrow, width, percent)).distinct()
+    near_labels = components(near_hub)
+    rest = open_pairs(shared, near_labels, percent)
+    discard(shared, near_labels)
+    far_links = verify(rest, classes, narrow, width, percent)
+    links = near_hub.unionByName(far_links).distinct()
     labels = components(links)
     counts = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(
         F.col("a").alias("cid")
     ).agg(F.count("*").alias("links"))
     named = classes.select("one", "two", "cid", "least_id").join(
-        labels.withColumnRenamed("node", "cid"), "cid", "left"
+        labels.select(F.col("node").alias("cid"), "label"), "cid", "left"
     ).withColumn("label", F.coalesce("label", "cid"))
     ids = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(ids, "label").join(counts, "cid", "left").select(
         "one", "two", "label", "component_id", F.coalesce("links", F.lit(0)).alias("links")
     )
     of_class = settle(of_class, "ngram_components")
-    out = rows.select("doc_id", "text_key", "size", "one", "two")
+    out = settle(rows.select("doc_id", "text_key", "size", "one", "two"), "ngram_documents")
+    discard(rest, near_hub, far_links, labels, classes, rows)
     # One class may hold a third of all documents: the join splits such keys at run time.
     return out.join(of_class, ["one", "two"], "left").select(
         "doc_id",
