@@ -89,32 +89,35 @@ def near_lines(docs: DataFrame, distinct: DataFrame, text: str = "text") -> Data
         & (F.col("text_key") == F.col("_text_key"))
         & (F.col("line_no") == F.col("_line_no")),
     ).select("first", "line", "h1", "h2", "size")
-    texts = settle(texts.dropDuplicates(["h1", "h2"]), "line_texts")
+    # Sorted into ranges by first place, so a line's number stands for its order in narrow tables.
+    ordered = texts.dropDuplicates(["h1", "h2"]).repartitionByRange("first")
+    texts = settle(
+        ordered.sortWithinPartitions("first").withColumn("id", F.monotonically_increasing_id()),
+        "line_texts",
+    )
     variants = settle(
-        texts.select("first", "h1", "h2", F.explode(_variants()).alias("v")).select(
-            "first", "h1", "h2", "v.place", "v.key"
-        ),
+        texts.select("id", F.explode(_variants()).alias("v")).select("id", "v.place", "v.key"),
         "line_variants",
     )
     shorter = variants.where("place > 0")
     at_place = shorter.groupBy("key", "place").agg(
-        F.min("first").alias("earliest"), F.count("*").alias("lines")
-    ).where("lines > 1")
+        F.min("id").alias("earliest"), F.count("*").alias("lines")
+    ).where("lines > 1").drop("lines")
     same_place = shorter.join(at_place, ["key", "place"])
-    whole = variants.where("place = 0").select("key", F.col("first").alias("earliest"))
-    longer = shorter.join(whole, "key")
-    least = shorter.groupBy("key").agg(F.min("first").alias("earliest"))
-    itself = variants.where("place = 0").join(least, "key")
+    whole = variants.where("place = 0").select("id", "key")
+    longer = shorter.select("id", "key").join(whole.withColumnRenamed("id", "earliest"), "key")
+    least = longer.groupBy("earliest").agg(F.min("id").alias("found"))
+    itself = least.select(F.col("earliest").alias("id"), F.col("found").alias("earliest"))
     pairs = None
     for found in (same_place, longer, itself):
-        part = found.where(F.col("earliest") < F.col("first")).select("h1", "h2", "earliest")
+        part = found.where(F.col("earliest") < F.col("id")).select("id", "earliest")
         pairs = part if pairs is None else pairs.unionByName(part)
-    partner = texts.select(F.col("first").alias("earliest"), F.col("line").alias("kept"))
-    mine = texts.select("h1", "h2", "line")
+    partner = texts.select(F.col("id").alias("earliest"), F.col("line").alias("kept"))
+    mine = texts.select("id", "h1", "h2", "line")
     verified = (
         pairs.distinct()
         .join(partner, "earliest")
-        .join(mine, ["h1", "h2"])
+        .join(mine, "id")
         .where(F.levenshtein("line", "kept", 1) >= 0)
     )
     near = settle(verified.select("h1", "h2").distinct(), "near_lines")
