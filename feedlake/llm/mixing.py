@@ -21,6 +21,7 @@ from feedlake.plans.shared import discard, settle
 WEIGHTS = (5, 2, 1)  # of the sources by code point, repeating
 MOST_REPEATS = 3  # a target stops at so many times its source's size
 BLOCK = 1024  # documents of one flight
+STRAIN = 0.25
 _EDGE = 1e-9
 
 
@@ -78,19 +79,23 @@ def source_targets(
 def _direction(size: float, others: np.ndarray, land: bool) -> tuple[float, np.ndarray] | None:
     """A move of one document and of ``others`` that keeps the document and word totals.
 
-    Among all such moves the one that moves the others least. When landing, a move that keeps the
-    word total alone will do if there is no better one, and at last any.
+    Among all such moves the one that moves the others least. If it would still move one of them by
+    more than ``STRAIN``, as for a document far longer than all others, the word total alone is
+    kept, lest the others be used up for the sake of the document total. When landing, any move will
+    do at last.
     """
     count = len(others)
     if count:
         mean = others.mean()
         spread = float(((others - mean) ** 2).sum())
         if spread > 0:
-            return 1.0, -(1 / count + (size - mean) / spread * (others - mean))
-        if size == mean:
+            moves = -(1 / count + (size - mean) / spread * (others - mean))
+            if np.abs(moves).max() <= STRAIN:
+                return 1.0, moves
+        elif size == mean:
             return 1.0, np.full(count, -1 / count)
-        if land and mean > 0:
-            return 1.0, np.full(count, -size / (count * mean))
+        if mean > 0:
+            return 1.0, -size * others / float((others**2).sum())
     return (1.0, np.zeros(count)) if land else None
 
 
