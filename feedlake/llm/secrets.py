@@ -2,7 +2,7 @@
 
 For every candidate token an encoding is inferred (hexadecimal, base 32, base 36 or base 64), and
 its symbols are tested against uniform draws from that encoding's alphabet: chi-squared for the
-shares of symbols, runs above and below the middle of the alphabet, and serial correlation of
+shares of symbols, runs of capitals, small letters, digits and signs, and serial correlation of
 neighbours. The same three statistics have a distribution for ordinary text, too, taken from the
 letter pairs of the whole corpus. The ratio of the two likelihoods is an e-value against "ordinary
 text"; it grows with the token's length, so short tokens need more. Tokens are reported by the e-BH
@@ -34,7 +34,7 @@ SHORTEST = {"assign": 6, "access": 20}
 KINDS = ("assign", "access", "hex", "random")
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
-RATE = 0.01  # false discoveries among the reported, on average
+RATE = 0.05  # false discoveries among the reported, on average
 REJECT = 1e-3  # a token is no random one if the battery gives less than this
 _SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 # Alphabets by name, symbols in the order of their numbers.
@@ -45,6 +45,7 @@ ALPHABETS = {
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "base64": _SYMBOLS,
 }
+SPREAD = 0.2  # deviation, between ordinary tokens, of how often the kind of symbol changes
 _KEYWORDS = ("pass", "secret", "token", "api")
 
 
@@ -79,6 +80,11 @@ def infer_encoding(token: str) -> str | None:
 _URL_SAFE = str.maketrans("-_", "+/")
 
 
+def _kinds(alphabet: str) -> np.ndarray:
+    """Capital, small letter, digit or sign, for each symbol."""
+    return np.array([0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit() else 3 for c in alphabet])
+
+
 def statistics(token: str, name: str) -> tuple[float, float, float]:
     """Chi-squared of the symbols' shares, number of runs, serial correlation of neighbours."""
     alphabet = ALPHABETS[name]
@@ -86,7 +92,8 @@ def statistics(token: str, name: str) -> tuple[float, float, float]:
     length, size = len(values), len(alphabet)
     counts = np.bincount(values, minlength=size)
     chi = float(((counts - length / size) ** 2).sum() * size / length)
-    runs = int((np.diff(values >= size / 2) != 0).sum()) + 1
+    kinds = _kinds(alphabet)[values]
+    runs = int((np.diff(kinds) != 0).sum()) + 1
     middle = values - (size - 1) / 2
     serial = float((middle[:-1] * middle[1:]).sum() / (middle**2).sum()) if length > 1 else 0.0
     return chi, float(runs), serial
@@ -123,6 +130,10 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
                     [{"start": s, "kind": k, "end": e} for s, k, e in base_spans(own)]
                 )
                 tokens.append(list(_candidates(own)))
+                for token in tokens[-1]:  # what may be random is no ordinary text
+                    spelled = own[token["start"] : token["end"]].encode()
+                    codes = _PAIRS[np.frombuffer(spelled, np.uint8)].astype(np.int64)
+                    pairs -= np.bincount(codes[:-1] * 65 + codes[1:], minlength=65 * 65)
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
@@ -187,26 +198,30 @@ def _candidates(text: str):
             }
 
 
-def text_model(pairs: np.ndarray) -> dict[str, tuple[float, float, float, float]]:
-    """For each encoding, what ordinary text gives: chi-squared surplus, change rate, serial.
+def text_model(pairs: np.ndarray) -> dict[str, tuple[float, float, float, float, float]]:
+    """For each encoding, what ordinary text gives, and the change of kinds in even draws.
+
+    Text is told by its surplus of chi-squared, that surplus's spread, how often the kind of symbol
+    changes and the serial correlation.
 
-    ``pairs`` counts neighbouring symbols. Text is restricted to the alphabet, every pair once more
-    than it was met, so that an alphabet that text never uses is still possible.
+    ``pairs`` counts neighbouring symbols. Text is restricted to the alphabet, every pair a
+    little more than it was met, so that an alphabet that text never uses is still possible.
     """
     out = {}
     for name, alphabet in ALPHABETS.items():
         places = [_SYMBOLS.index(c) for c in alphabet]
-        own = pairs[np.ix_(places, places)].astype(float) + 1
+        own = pairs[np.ix_(places, places)].astype(float) + 0.01
         own /= own.sum()
         share = own.sum(1)
         size = len(alphabet)
         surplus = size * float((share**2).sum()) - 1  # of chi-squared, for each symbol
         cubic = size**2 * float((share**3).sum()) - (surplus + 1) ** 2
-        upper = np.arange(size) >= size / 2
-        change = float(own[np.ix_(upper, ~upper)].sum() + own[np.ix_(~upper, upper)].sum())
+        kinds = _kinds(alphabet)
+        change = float(own[kinds[:, None] != kinds[None, :]].sum())
         middle = np.arange(size) - (size - 1) / 2
         serial = float(middle @ own @ middle / (share @ middle**2))
-        out[name] = (surplus, max(cubic, 0.0), change, serial)
+        evenly = 1 - float((np.bincount(kinds) / size) @ (np.bincount(kinds) / size))
+        out[name] = (surplus, max(cubic, 0.0), change, serial, evenly)
     return out
 
 
@@ -228,10 +243,11 @@ def evidence(token: Column, model: dict) -> tuple[Column, Column]:
     size = of(lambda k, _: k)
     surplus, cubic = of(lambda _, v: v[0]), of(lambda _, v: v[1])
     change, serial = of(lambda _, v: v[2]), of(lambda _, v: v[3])
+    fair = of(lambda _, v: v[4])
     chi, runs, rho = token["chi"], token["runs"], token["serial"]
     even = (
         (chi, size - 1, 2 * (size - 1)),
-        (runs, (length + 1) / 2, (length - 1) / 4),
+        (runs, 1 + (length - 1) * fair, (length - 1) * fair * (1 - fair)),
         (rho, -1 / length, 1 / length),
     )
     text = (
@@ -240,7 +256,11 @@ def evidence(token: Column, model: dict) -> tuple[Column, Column]:
             size - 1 + (length - 1) * surplus,
             2 * (size - 1) + 4 * (length - 1) * (surplus + cubic),
         ),
-        (runs, 1 + (length - 1) * change, F.greatest((length - 1) * change * (1 - change), F.lit(0.25))),
+        (
+            runs,
+            1 + (length - 1) * change,
+            (length - 1) * change * (1 - change) + (length - 1) * (length - 1) * SPREAD**2,
+        ),
         (rho, serial, 1 / length),
     )
     log_e = F.lit(0.0)
