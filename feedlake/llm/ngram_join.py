@@ -31,7 +31,6 @@ FREQUENT = 1 << 21  # n-grams whose frequency is known when ordering, at most
 SEEN = 2  # times that a task must meet an n-gram to report it
 GATHERED = 4_000_000  # n-grams that a task counts at once
 SUFFIX_PARTS = 64  # ranges of the suffix filter
-WANTED = 8_000_000  # classes whose sets are picked out by a list sent to tasks, at most
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
@@ -298,12 +297,12 @@ def _profile_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataF
     What two sets differ by in a range, they cannot share; the sum over all ranges is the least
     that they differ by.
     """
-    ends = classes.select("cid", "size", "profile", "one", "two")
+    ends = classes.select("cid", "size", "profile", "of_id", "of_key")
 
     def side(mark: str, end: str) -> DataFrame:
         return ends.select(
             F.col("cid").alias(end),
-            *[F.col(c).alias(f"{c}_{mark}") for c in ("size", "profile", "one", "two")],
+            *[F.col(c).alias(f"{c}_{mark}") for c in ("size", "profile", "of_id", "of_key")],
         )
 
     joined = pairs.join(side("a", "a"), "a").join(side("b", "b"), "b")
@@ -333,52 +332,42 @@ def verify(
 ) -> DataFrame:
     """The pairs of classes whose whole sets are similar enough, each compared once.
 
-    Sets are made again from the texts, for the classes in question only: their keys are sent to the
-    tasks if they are few enough, else all sets are shuffled to the pairs.
+    Sets are made again from the texts, for one document of each class in question; the join that
+    finds these is left to the planner, which sends their keys to the texts while they are small.
     """
     close = settle(_profile_filter(pairs, classes, percent), "ngram_candidates")
-    asked = close.select(F.col("one_a").alias("one"), F.col("two_a").alias("two")).unionByName(
-        close.select(F.col("one_b").alias("one"), F.col("two_b").alias("two"))
-    ).distinct()
-    asked = settle(asked, "ngram_asked")
-    wanted = None
-    if asked.count() <= WANTED:
-        keys = np.sort(asked.select("one").toPandas()["one"].to_numpy(dtype=np.int64))
-        wanted = docs.sparkSession.sparkContext.broadcast(keys)
+    ends = [
+        close.select(
+            F.col(end).alias("cid"), F.col(f"of_id_{end}").alias("of_id"),
+            F.col(f"of_key_{end}").alias("of_key"),
+        )
+        for end in ("a", "b")
+    ]
+    asked = settle(ends[0].unionByName(ends[1]).distinct(), "ngram_asked")
+    texts = docs.join(
+        asked, docs["doc_id"].eqNullSafe(F.col("of_id")) & (docs["text_key"] == F.col("of_key"))
+    ).select("cid", "text")
 
     def run(batches):
-        sent: set[tuple[int, int]] = set()  # of the classes asked for, each once a task
+        sent: set[int] = set()  # repeated rows give a set once a task
         for batch in batches:
             rows = []
-            for grams in _sets(batch, width):
-                key = _class_key(grams)
-                if key in sent:
+            for cid, grams in zip(batch.column("cid").to_pylist(), _sets(batch, width), strict=True):
+                if cid in sent:
                     continue
-                if wanted is not None:
-                    place = np.searchsorted(wanted.value, key[0])
-                    if place == len(wanted.value) or wanted.value[place] != key[0]:
-                        continue
-                    sent.add(key)
-                rows.append((*key, grams.astype("<u8").tobytes()))
+                sent.add(cid)
+                rows.append((cid, grams.astype("<u8").tobytes()))
                 if len(rows) >= 1000:
                     yield _set_batch(rows)
                     rows = []
             if rows:
                 yield _set_batch(rows)
 
-    sets = docs.select("text").mapInArrow(run, "one bigint, two bigint, grams binary")
-    sets = settle(sets.dropDuplicates(["one", "two"]), "ngram_sets")
-    both = close.join(
-        sets.select(
-            F.col("one").alias("one_b"), F.col("two").alias("two_b"), F.col("grams").alias("grams_b")
-        ),
-        ["one_b", "two_b"],
-    ).join(
-        sets.select(
-            F.col("one").alias("one_a"), F.col("two").alias("two_a"), F.col("grams").alias("grams_a")
-        ),
-        ["one_a", "two_a"],
-    )
+    sets = texts.mapInArrow(run, "cid bigint, grams binary")
+    sets = settle(sets.dropDuplicates(["cid"]), "ngram_sets")
+    both = close.select("a", "b").join(
+        sets.select(F.col("cid").alias("b"), F.col("grams").alias("grams_b")), "b"
+    ).join(sets.select(F.col("cid").alias("a"), F.col("grams").alias("grams_a")), "a")
 
     def similar(batches):
         for batch in batches:
@@ -404,10 +393,9 @@ def _set_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([row[0] for row in rows], pa.int64()),
-            pa.array([row[1] for row in rows], pa.int64()),
-            pa.array([row[2] for row in rows], pa.binary()),
+            pa.array([row[1] for row in rows], pa.binary()),
         ],
-        ["one", "two", "grams"],
+        ["cid", "grams"],
     )
 
 
@@ -428,11 +416,17 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str
     grouped = rows.where("size > 0").groupBy("one", "two").agg(
         F.first("size").alias("size"),
         F.min("doc_id").alias("least_id"),
+        F.min(F.struct("doc_id", "text_key")).alias("of"),  # the document that shows its set
         F.first("prefix").alias("prefix"),
         F.first("profile").alias("profile"),
     )
     classes = settle(
-        grouped.withColumn("cid", F.monotonically_increasing_id()), "ngram_classes"
+        grouped.select(
+            "one", "two", "size", "least_id", F.col("of.doc_id").alias("of_id"),
+            F.col("of.text_key").alias("of_key"), "prefix", "profile",
+            F.monotonically_increasing_id().alias("cid"),
+        ),
+        "ngram_classes",
     )
     shared, pairs = hub_pairs(prefix_entries(classes, percent), percent)
     near_hub = verify(pairs, classes, narrow, width, percent)
