@@ -30,6 +30,7 @@ PERCENT = 85  # least similarity
 FREQUENT = 1 << 21  # n-grams whose frequency is known when ordering, at most
 SEEN = 2  # times that a task must meet an n-gram to report it
 GATHERED = 4_000_000  # n-grams that a task counts at once
+SENT = 1_000_000  # documents whose keys are broadcast to the texts, at most (about 80 MB)
 SUFFIX_PARTS = 64  # ranges of the suffix filter
 
 
@@ -332,8 +333,8 @@ def verify(
 ) -> DataFrame:
     """The pairs of classes whose whole sets are similar enough, each compared once.
 
-    Sets are made again from the texts, for one document of each class in question; the join that
-    finds these is left to the planner, which sends their keys to the texts while they are small.
+    Sets are made again from the texts, for one document of each class in question. Their keys are
+    broadcast to the texts if they are counted to be few enough, else the planner chooses the join.
     """
     close = settle(_profile_filter(pairs, classes, percent), "ngram_candidates")
     ends = [
@@ -344,8 +345,9 @@ def verify(
         for end in ("a", "b")
     ]
     asked = settle(ends[0].unionByName(ends[1]).distinct(), "ngram_asked")
+    few = F.broadcast(asked) if asked.count() <= SENT else asked
     texts = docs.join(
-        asked, docs["doc_id"].eqNullSafe(F.col("of_id")) & (docs["text_key"] == F.col("of_key"))
+        few, docs["doc_id"].eqNullSafe(F.col("of_id")) & (docs["text_key"] == F.col("of_key"))
     ).select("cid", "text")
 
     def run(batches):

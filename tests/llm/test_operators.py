@@ -210,7 +210,9 @@ def brute_groups(texts, width=4, percent=85):
     return [(len(s), top(k)) for k, s in enumerate(sets)]
 
 
-def test_join_equals_brute_force(spark):
+@pytest.mark.parametrize("sent", [ngram_join.SENT, 0])
+def test_join_equals_brute_force(spark, monkeypatch, sent):
+    monkeypatch.setattr(ngram_join, "SENT", sent)
     draw = random.Random(4)
     texts = []
     for length in (8, 40, 41, 90, 200):
