@@ -32,6 +32,9 @@ SEEN = 2  # times that a task must meet an n-gram to report it
 GATHERED = 4_000_000  # n-grams that a task counts at once
 SENT = 1_000_000  # documents whose keys are broadcast to the texts, at most (about 80 MB)
 SUFFIX_PARTS = 64  # ranges of the suffix filter
+BLOCK_GRAMS = 1 << 19  # n-grams of a block of a component's sets, about; a pair of blocks is a group
+BLOCK_SETS = 512  # sets of a block, about
+DENSE = 2048  # n-grams that are columns of a matrix at once
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
@@ -328,28 +331,17 @@ def _profile_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataF
     return joined.mapInArrow(run, type(joined.schema)(kept))
 
 
-def verify(
-    pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int
-) -> DataFrame:
-    """The pairs of classes whose whole sets are similar enough, each compared once.
-
-    Sets are made again from the texts, for one document of each class in question. Their keys are
-    broadcast to the texts if they are counted to be few enough, else the planner chooses the join.
-    """
-    close = settle(_profile_filter(pairs, classes, percent), "ngram_candidates")
-    ends = [
-        close.select(
-            F.col(end).alias("cid"), F.col(f"of_id_{end}").alias("of_id"),
-            F.col(f"of_key_{end}").alias("of_key"),
-        )
-        for end in ("a", "b")
-    ]
-    asked = settle(ends[0].unionByName(ends[1]).distinct(), "ngram_asked")
+def _class_texts(asked: DataFrame, docs: DataFrame) -> DataFrame:
+    """cid and text of the documents that show the sets of the classes asked for."""
     few = F.broadcast(asked) if asked.count() <= SENT else asked
-    texts = docs.join(
+    return docs.join(
         few, docs["doc_id"].eqNullSafe(F.col("of_id")) & (docs["text_key"] == F.col("of_key"))
     ).select("cid", "text")
 
+
+def _class_sets(texts: DataFrame, width: int) -> DataFrame:
+    """cid and n-grams, one row a class."""
+
     def run(batches):
         sent: set[int] = set()  # repeated rows give a set once a task
         for batch in batches:
@@ -365,8 +357,27 @@ def verify(
             if rows:
                 yield _set_batch(rows)
 
-    sets = texts.mapInArrow(run, "cid bigint, grams binary")
-    sets = settle(sets.dropDuplicates(["cid"]), "ngram_sets")
+    return texts.mapInArrow(run, "cid bigint, grams binary").dropDuplicates(["cid"])
+
+
+def verify(
+    pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """The pairs of classes whose whole sets are similar enough, each compared once.
+
+    Sets are made again from the texts, for one document of each class in question. Their keys are
+    broadcast to the texts if they are counted to be few enough, else the planner chooses the join.
+    """
+    close = settle(_profile_filter(pairs, classes, percent), "ngram_candidates")
+    ends = [
+        close.select(
+            F.col(end).alias("cid"), F.col(f"of_id_{end}").alias("of_id"),
+            F.col(f"of_key_{end}").alias("of_key"),
+        )
+        for end in ("a", "b")
+    ]
+    asked = settle(ends[0].unionByName(ends[1]).distinct(), "ngram_asked")
+    sets = settle(_class_sets(_class_texts(asked, docs), width), "ngram_sets")
     both = close.select("a", "b").join(
         sets.select(F.col("cid").alias("b"), F.col("grams").alias("grams_b")), "b"
     ).join(sets.select(F.col("cid").alias("a"), F.col("grams").alias("grams_a")), "a")
@@ -401,13 +412,116 @@ def _set_batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str = "text"):
+def _similar_counts(
+    one: list[np.ndarray], other: list[np.ndarray], percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each set of both sides, how many of the other side are similar to it."""
+    grams = [np.concatenate(side) for side in (one, other)]
+    rows = [np.repeat(np.arange(len(side)), [len(x) for x in side]) for side in (one, other)]
+    known = np.intersect1d(*[np.unique(x) for x in grams], assume_unique=True)
+    shared = np.zeros((len(one), len(other)), np.float32)  # exact up to 2^24
+    order = []
+    for k in (0, 1):
+        place = np.searchsorted(known, grams[k])
+        place[place == len(known)] = 0
+        met = known[place] == grams[k] if len(known) else np.zeros(len(grams[k]), bool)
+        by = np.argsort(place[met], kind="stable")
+        order.append((place[met][by], rows[k][met][by]))
+    for low in range(0, len(known), DENSE):
+        dense = []
+        for (place, row), count in zip(order, shared.shape, strict=True):
+            begin, end = np.searchsorted(place, (low, low + DENSE))
+            table = np.zeros((count, min(DENSE, len(known) - low)), np.float32)
+            table[row[begin:end], place[begin:end] - low] = 1
+            dense.append(table)
+        shared += dense[0] @ dense[1].T
+    both = shared.astype(np.int64)
+    sizes = [np.array([len(x) for x in side], np.int64) for side in (one, other)]
+    close = 100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both)
+    return close.sum(1), close.sum(0)
+
+
+def count_links(
+    labels: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """cid and ``links``: to how many other classes each class in a component is similar.
+
+    A link never leaves its component, so all pairs within each component are compared on the whole
+    sets, found by no prefix and no hub. A component's sets are dealt into blocks by hash; each pair
+    of blocks is one group, which is counted by matrix products and returns a count for each set.
+    """
+    members = labels.select(F.col("node").alias("cid"), "label").join(
+        classes.select("cid", "size", "of_id", "of_key"), "cid"
+    )
+    members = settle(members, "ngram_members")
+    blocks = members.groupBy("label").agg(
+        F.greatest(F.ceil(F.sum("size") / BLOCK_GRAMS), F.ceil(F.count("*") / BLOCK_SETS)).alias("blocks")
+    )
+    dealt = settle(
+        members.join(blocks, "label").select(
+            "cid", "label", "blocks", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block")
+        ),
+        "ngram_dealt",
+    )
+    asked = members.select("cid", "of_id", "of_key")
+    sets = settle(_class_sets(_class_texts(asked, docs), width), "ngram_member_sets")
+    # Block b is the one side with every later block, the other with every earlier one.
+    partner = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("partner")
+    groups = dealt.select("cid", "label", "block", partner).select(
+        "cid", "label", "block",
+        F.least("block", "partner").alias("low"), F.greatest("block", "partner").alias("high"),
+    )
+    grouped = groups.join(sets, "cid").repartition("label", "low", "high").sortWithinPartitions(
+        "label", "low", "high"
+    )
+
+    def counted(group: tuple, rows: list[tuple]) -> pa.RecordBatch:
+        _, low, high = group
+        one = [row for row in rows if row[1] == low]
+        other = [row for row in rows if row[1] == high]
+        cids, found = [row[0] for row in one], []
+        if one and other:
+            first, second = _similar_counts([r[2] for r in one], [r[2] for r in other], percent)
+            if low == high:
+                found = first - 1  # each is similar to itself
+            else:
+                cids, found = cids + [r[0] for r in other], np.concatenate((first, second))
+        else:
+            cids = []
+        return pa.RecordBatch.from_arrays(
+            [pa.array(cids, pa.int64()), pa.array(found, pa.int64())], ["cid", "links"]
+        )
+
+    def run(batches):
+        group, held = None, []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("label", "low", "high", "cid", "block")]
+            for *key, cid, block, grams in zip(*columns, batch.column("grams"), strict=True):
+                if group != tuple(key):
+                    if held:
+                        yield counted(group, held)
+                    group, held = tuple(key), []
+                held.append((cid, block, np.frombuffer(grams.as_py(), "<u8")))
+        if held:
+            yield counted(group, held)
+
+    parts = grouped.mapInArrow(run, "cid bigint, links bigint")
+    counts = settle(parts.groupBy("cid").agg(F.sum("links").alias("links")), "ngram_link_counts")
+    discard(members, dealt, sets)
+    return counts
+
+
+def link(
+    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str = "text",
+    counted: bool = True,
+) -> DataFrame:
     """One row per document: doc_id, text_key, n_shingles, class key, ``component_id``, ``links``.
 
     ``component_id`` is the least doc_id reachable by links, the document's own included; ``links``
-    counts the verified links of its class to other classes. A null or empty text has no n-gram, is
-    linked with nothing and keeps its own id. A null id never is a component's id unless all of its
-    documents have none. Repeated rows are in one class. An empty table gives no rows.
+    is the number of other classes that its class is similar to, whatever the order of rows, and
+    null unless ``counted``. A null or empty text has no n-gram, is linked with nothing and keeps
+    its own id. A null id never is a component's id unless all of its documents have none. Repeated
+    rows are in one class. An empty table gives no rows.
     """
     narrow = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -438,19 +552,24 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str
     far_links = verify(rest, classes, narrow, width, percent)
     links = near_hub.unionByName(far_links).distinct()
     labels = components(links)
-    counts = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(
-        F.col("a").alias("cid")
-    ).agg(F.count("*").alias("links"))
+    if counted:
+        counts = count_links(labels, classes, narrow, width, percent)
+        number = F.coalesce("links", F.lit(0)).cast("bigint")
+    else:
+        counts = labels.select(F.col("node").alias("cid"), F.lit(None).cast("bigint").alias("links"))
+        number = F.lit(None).cast("bigint")
     named = classes.select("one", "two", "cid", "least_id").join(
         labels.select(F.col("node").alias("cid"), "label"), "cid", "left"
     ).withColumn("label", F.coalesce("label", "cid"))
     ids = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(ids, "label").join(counts, "cid", "left").select(
-        "one", "two", "label", "component_id", F.coalesce("links", F.lit(0)).alias("links")
+        "one", "two", "label", "component_id", "links"
     )
     of_class = settle(of_class, "ngram_components")
     out = settle(rows.select("doc_id", "text_key", "size", "one", "two"), "ngram_documents")
     discard(rest, near_hub, far_links, labels, classes, rows)
+    if counted:
+        discard(counts)
     # One class may hold a third of all documents: the join splits such keys at run time.
     return out.join(of_class, ["one", "two"], "left").select(
         "doc_id",
@@ -462,7 +581,7 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str
         F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias(
             "component_id"
         ),
-        F.coalesce("links", F.lit(0)).cast("bigint").alias("links"),
+        number.alias("links"),
     )
 
 
@@ -473,7 +592,7 @@ def keep_one(
 
     Documents without words are in no group and all stay. Of repeated rows one stays.
     """
-    found = settle(link(docs, width, percent, text), "ngram_found")
+    found = settle(link(docs, width, percent, text, counted=False), "ngram_found")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
     kept = found.where("label is not null").groupBy("label").agg(F.min(order).alias("best"))
     kept = kept.select(

@@ -230,6 +230,50 @@ def test_join_equals_brute_force(spark, monkeypatch, sent):
     assert got == dict(enumerate(brute_groups(texts)))
 
 
+def brute_links(texts, width=4, percent=85):
+    sets = []
+    for text in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+        width_ = min(width, len(words))
+        sets.append(
+            frozenset(tuple(words[k : k + width_]) for k in range(len(words) - width_ + 1) if words)
+        )
+    classes = {s for s in sets if s}
+    counts = {
+        s: sum(100 * len(s & o) >= percent * len(s | o) for o in classes if o != s) for s in classes
+    }
+    return [counts.get(s, 0) for s in sets]
+
+
+def test_links_within_a_hubs_component_are_counted(spark):
+    base = words_of(random.Random(2), 100)
+    texts = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in (0, 50, 99)]
+    rows = ngram_join.link(frame(spark, texts)).collect()
+    assert {r.doc_id: r.links for r in rows} == {0: 2, 1: 2, 2: 2}
+
+
+@pytest.mark.parametrize("grams, sets, dense", [(1 << 19, 512, 2048), (1500, 9, 64)])
+def test_links_equal_brute_force(spark, monkeypatch, grams, sets, dense):
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", grams)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", sets)
+    monkeypatch.setattr(ngram_join, "DENSE", dense)
+    draw = random.Random(11)
+    texts = []
+    for length in (8, 40, 90, 200):
+        base = words_of(draw, length)
+        for _ in range(40):
+            own = list(base)
+            for _ in range(draw.choice([0, 0, 1, 1, 2, 3, 5])):
+                own[draw.randrange(len(own))] = words_of(draw, 1)[0]
+            texts.append(" ".join(own))
+    texts += [None, "", "a b", "a"]
+    expected = dict(enumerate(brute_links(texts)))
+    rows = ngram_join.link(frame(spark, texts)).collect()
+    assert {r.doc_id: r.links for r in rows} == expected
+    rows = ngram_join.link(frame(spark, texts).repartition(7)).collect()
+    assert {r.doc_id: r.links for r in rows} == expected
+
+
 def test_join_on_awkward_rows(spark, awkward):
     assert ngram_join.link(awkward).count() == 8
     kept = ngram_join.keep_one(awkward)
