@@ -1,13 +1,14 @@
 """Secret scan: known patterns, and a randomness test battery on other long tokens.
 
-For every candidate token an encoding is inferred (hexadecimal, base 32, base 36 or base 64), and
-its symbols are tested against uniform draws from that encoding's alphabet: chi-squared for the
-shares of symbols, runs of capitals, small letters, digits and signs, and serial correlation of
-neighbours. The same three statistics have a distribution for ordinary text, too, taken from the
+Every candidate token is read in each encoding that spells it (hexadecimal, base 32, base 36, base
+62 or base 64; a token with dashes or underscores also without them), and its symbols are tested
+against uniform draws from that encoding's alphabet: chi-squared for the shares of symbols, runs of
+capitals, small letters, digits and signs, and serial correlation of neighbours. The same three statistics have a distribution for ordinary text, too, taken from the
 letter pairs of the whole corpus. The ratio of the two likelihoods is an e-value against "ordinary
-text"; it grows with the token's length, so short tokens need more. Tokens are reported by the e-BH
-procedure over all candidates, which holds the false-discovery rate whatever depends on what, if
-the battery does not reject randomness as well.
+text"; a reading in which the battery rejects randomness has none, and a token has the greatest of
+its readings divided by their number, which is an e-value, too. It grows with the token's length,
+so short tokens need more. Tokens of any length are reported by the e-BH procedure over all
+candidates, which holds the false-discovery rate whatever depends on what.
 """
 
 from __future__ import annotations
@@ -33,9 +34,10 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # a match is a whole run, so a short one nee
 SHORTEST = {"assign": 6, "access": 20}
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z+/_-]*+[0-9][A-Za-z0-9+/_-]*={0,2}")
 RATE = 0.05  # false discoveries among the reported, on average
-REJECT = 1e-3  # a token is no random one if the battery gives less than this
+REJECT = 1e-3  # a reading is no random one if the battery gives less than this
+NOTHING = -1e6  # logarithm of the e-value of a rejected reading
 _SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 # Alphabets by name, symbols in the order of their numbers.
 ALPHABETS = {
@@ -43,6 +45,8 @@ ALPHABETS = {
     "HEX": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "BASE36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": _SYMBOLS,
 }
 SPREAD = 0.2  # deviation, between ordinary tokens, of how often the kind of symbol changes
@@ -66,17 +70,29 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def infer_encoding(token: str) -> str | None:
-    """The narrowest encoding with digits and letters that spells the token; else none."""
+def encodings(token: str) -> list[tuple[str, str, np.ndarray]]:
+    """Every encoding with digits and letters that spells the token, what it spells, and its parts.
+
+    Parts are numbered for each symbol; what meets across a separator is no pair of neighbours.
+
+    Dashes and underscores are symbols of base 64, and separators in the other encodings.
+    """
     body = token.rstrip("=")
     if not any(c.isdigit() for c in body) or not any(c.isalpha() for c in body):
-        return None
+        return []
+    signed, joined = body.translate(_URL_SAFE), body.translate(_JOINED)
+    apart = np.array([c in "-_" for c in body])
+    parts, whole = np.cumsum(apart)[~apart], np.zeros(len(body), int)
+    out = []
     for name, alphabet in ALPHABETS.items():
-        if set(body.translate(_URL_SAFE)) <= set(alphabet):
-            return name
-    return None
+        spelled, part = (signed, whole) if name == "base64" else (joined, parts)
+        if set(spelled) <= _SETS[name]:
+            out.append((name, spelled, part))
+    return out
 
 
+_SETS = {name: set(alphabet) for name, alphabet in ALPHABETS.items()}
+_JOINED = str.maketrans("", "", "-_")
 _URL_SAFE = str.maketrans("-_", "+/")
 
 
@@ -85,18 +101,19 @@ def _kinds(alphabet: str) -> np.ndarray:
     return np.array([0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit() else 3 for c in alphabet])
 
 
-def statistics(token: str, name: str) -> tuple[float, float, float]:
-    """Chi-squared of the symbols' shares, number of runs, serial correlation of neighbours."""
+def statistics(spelled: str, name: str, part: np.ndarray) -> tuple[int, float, float, float]:
+    """Neighbours, chi-squared of the symbols' shares, changes of kind, serial correlation."""
     alphabet = ALPHABETS[name]
-    values = np.array([alphabet.index(c) for c in token.rstrip("=").translate(_URL_SAFE)])
+    values = np.array([alphabet.index(c) for c in spelled])
     length, size = len(values), len(alphabet)
     counts = np.bincount(values, minlength=size)
     chi = float(((counts - length / size) ** 2).sum() * size / length)
     kinds = _kinds(alphabet)[values]
-    runs = int((np.diff(kinds) != 0).sum()) + 1
+    near = part[1:] == part[:-1]
+    runs = int(((np.diff(kinds) != 0) & near).sum())
     middle = values - (size - 1) / 2
-    serial = float((middle[:-1] * middle[1:]).sum() / (middle**2).sum()) if length > 1 else 0.0
-    return chi, float(runs), serial
+    serial = float((middle[:-1] * middle[1:])[near].sum() / (middle**2).sum())
+    return int(near.sum()), chi, float(runs), serial
 
 
 def _pair_codes() -> np.ndarray:
@@ -123,17 +140,18 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
                 codes = _PAIRS[data[bounds[low] : bounds[high]]].astype(np.int64)
                 codes[(bounds[low:high] - bounds[low])[bounds[low:high] < bounds[high]]] = 64
                 pairs += np.bincount(codes[:-1] * 65 + codes[1:], minlength=65 * 65)
-            bases, tokens = [], []
+            bases, tokens, apart = [], [], []
             for value in batch.column(text):
                 own = value.as_py() or ""
                 bases.append(
                     [{"start": s, "kind": k, "end": e} for s, k, e in base_spans(own)]
                 )
                 tokens.append(list(_candidates(own)))
-                for token in tokens[-1]:  # what may be random is no ordinary text
-                    spelled = own[token["start"] : token["end"]].encode()
-                    codes = _PAIRS[np.frombuffer(spelled, np.uint8)].astype(np.int64)
-                    pairs -= np.bincount(codes[:-1] * 65 + codes[1:], minlength=65 * 65)
+                apart += [own[token["start"] : token["end"]] for token in tokens[-1]]
+            # What may be random is no ordinary text.
+            codes = _PAIRS[np.frombuffer(" ".join(apart).encode(), np.uint8)].astype(np.int64)
+            inside = (codes[:-1] < 64) & (codes[1:] < 64)
+            pairs -= np.bincount(codes[:-1][inside] * 65 + codes[1:][inside], minlength=65 * 65)
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
@@ -161,41 +179,40 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     return narrow.mapInArrow(
         run,
         "doc_id bigint, base array<struct<start:bigint,kind:int,end:bigint>>, "
-        "tokens array<struct<start:bigint,end:bigint,encoding:string,length:int,chi:double,"
-        "runs:double,serial:double>>, pair int, n bigint",
+        "tokens array<struct<start:bigint,end:bigint,readings:array<struct<encoding:string,"
+        "length:int,neighbours:int,chi:double,runs:double,serial:double>>>>, pair int, n bigint",
     )
 
 
 _BASES = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
-_TOKENS = pa.list_(
+_READINGS = pa.list_(
     pa.struct(
         [
-            ("start", pa.int64()),
-            ("end", pa.int64()),
             ("encoding", pa.string()),
             ("length", pa.int32()),
+            ("neighbours", pa.int32()),
             ("chi", pa.float64()),
             ("runs", pa.float64()),
             ("serial", pa.float64()),
         ]
     )
 )
+_TOKENS = pa.list_(
+    pa.struct([("start", pa.int64()), ("end", pa.int64()), ("readings", _READINGS)])
+)
+
+
+_FIELDS = [field.name for field in _READINGS.value_type]
 
 
 def _candidates(text: str):
     for match in CANDIDATE.finditer(text):
-        name = infer_encoding(match[0])
-        if name:
-            chi, runs, serial = statistics(match[0], name)
-            yield {
-                "start": match.start(),
-                "end": match.end(),
-                "encoding": name,
-                "length": len(match[0].rstrip("=")),
-                "chi": chi,
-                "runs": runs,
-                "serial": serial,
-            }
+        readings = []
+        for name, spelled, part in encodings(match[0]):
+            own = (name, len(spelled), *statistics(spelled, name, part))
+            readings.append(dict(zip(_FIELDS, own, strict=True)))
+        if readings:
+            yield {"start": match.start(), "end": match.end(), "readings": readings}
 
 
 def text_model(pairs: np.ndarray) -> dict[str, tuple[float, float, float, float, float]]:
@@ -206,11 +223,17 @@ def text_model(pairs: np.ndarray) -> dict[str, tuple[float, float, float, float,
 
     ``pairs`` counts neighbouring symbols. Text is restricted to the alphabet, every pair a
     little more than it was met, so that an alphabet that text never uses is still possible.
+    For alphabets of capitals all text counts as if in capitals, as text rarely has words in them.
     """
     out = {}
+    upper = np.arange(65)
+    upper[26:52] = np.arange(26)
+    capitals = np.zeros_like(pairs)
+    np.add.at(capitals, (upper[:, None], upper[None, :]), pairs)
     for name, alphabet in ALPHABETS.items():
+        fold = alphabet == alphabet.upper()
         places = [_SYMBOLS.index(c) for c in alphabet]
-        own = pairs[np.ix_(places, places)].astype(float) + 0.01
+        own = (capitals if fold else pairs)[np.ix_(places, places)].astype(float) + 0.01
         own /= own.sum()
         share = own.sum(1)
         size = len(alphabet)
@@ -229,9 +252,23 @@ def _log_normal(value: Column, mean: Column, variance: Column) -> Column:
     return -(value - mean) * (value - mean) / (2 * variance) - F.log(variance) / 2
 
 
-def evidence(token: Column, model: dict) -> tuple[Column, Column]:
-    """Logarithm of the e-value of a token, and the battery's least p-value for randomness."""
+def evidence(token: Column, model: dict) -> Column:
+    """Logarithm of the e-value of a token, from its best reading that is not rejected."""
+
+    def of_reading(reading: Column) -> Column:
+        log_e, least = _reading_evidence(reading, model)
+        return F.when(least >= REJECT, log_e).otherwise(F.lit(NOTHING))
+
+    best = F.array_max(F.transform(token["readings"], of_reading))
+    return best - F.log(F.size(token["readings"]).cast("double"))
+
+
+def _reading_evidence(token: Column, model: dict) -> tuple[Column, Column]:
+    """Logarithm of the e-value of a reading, and the battery's least p-value for randomness."""
     length = token["length"].cast("double")
+    # A candidate has a digit and a letter, so text without separators changes its kind once at least.
+    forced = (token["neighbours"] == token["length"] - 1).cast("double")
+    met = F.greatest(token["neighbours"].cast("double"), F.lit(1.0))
 
     def of(pick) -> Column:
         out = F.lit(0.0)
@@ -246,22 +283,22 @@ def evidence(token: Column, model: dict) -> tuple[Column, Column]:
     fair = of(lambda _, v: v[4])
     chi, runs, rho = token["chi"], token["runs"], token["serial"]
     even = (
-        (chi, size - 1, 2 * (size - 1)),
-        (runs, 1 + (length - 1) * fair, (length - 1) * fair * (1 - fair)),
-        (rho, -1 / length, 1 / length),
+        (chi, size - 1, 2 * (size - 1) * (1 - 1 / length)),
+        (runs, met * fair, met * fair * (1 - fair)),
+        (rho, -met / (length * length), met / (length * length)),
     )
     text = (
         (
             chi,
             size - 1 + (length - 1) * surplus,
-            2 * (size - 1) + 4 * (length - 1) * (surplus + cubic),
+            2 * (size - 1) * (1 - 1 / length) + 4 * (length - 1) * (surplus + cubic),
         ),
         (
             runs,
-            1 + (length - 1) * change,
-            (length - 1) * change * (1 - change) + (length - 1) * (length - 1) * SPREAD**2,
+            forced + (met - forced) * change,
+            met * change * (1 - change) + met * met * SPREAD**2,
         ),
-        (rho, serial, 1 / length),
+        (rho, serial * met / length, met / (length * length)),
     )
     log_e = F.lit(0.0)
     least = F.lit(1.0)
@@ -307,14 +344,13 @@ def find_secrets(docs: DataFrame, text: str = "text", rate: float = RATE) -> Dat
     model = text_model(pairs.reshape(65, 65))
     documents = scanned.where("pair is null")
     tokens = documents.select(F.explode("tokens").alias("token"))
-    needed = threshold(tokens.select(evidence(F.col("token"), model)[0].alias("log_e")), rate)
+    needed = threshold(tokens.select(evidence(F.col("token"), model).alias("log_e")), rate)
 
     def random_span(token: Column) -> Column:
         return F.struct(token["start"].alias("start"), F.lit(3).alias("kind"), token["end"].alias("end"))
 
     def told(token: Column) -> Column:
-        log_e, least = evidence(token, model)
-        return (log_e >= needed) & (least >= REJECT)
+        return evidence(token, model) >= needed
 
     chosen = F.filter("tokens", told)
     fresh = F.filter(

@@ -75,6 +75,27 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert sum(told[:60]) >= 50 and not any(told[60:])
 
 
+def test_random_tokens_of_every_encoding_are_found(spark):
+    draw = random.Random(12)
+    kinds = [*secrets.ALPHABETS, "dashed"]
+    keys = []
+    for kind in kinds:
+        for _ in range(40):
+            alphabet = secrets.ALPHABETS.get(kind, secrets.ALPHABETS["hex"])
+            key = "".join(draw.choices(alphabet, k=32 if kind == "dashed" else 48))
+            if kind == "dashed":
+                key = "-".join((key[:8], key[8:12], key[12:16], key[16:20], key[20:]))
+            keys.append((kind, key))
+    plain = "The 2nd reader of chapter3 met page_12 and internationalization4everyone in Some_Name_2_of"
+    docs = frame(spark, [f"see {key} here" for _, key in keys] + [plain] * 60)
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(docs).collect()}
+    told = collections.Counter()
+    for k, (kind, key) in enumerate(keys):
+        told[kind] += any(s.end - 4 >= len(key) and s.kind >= 2 for s in found[k])
+    assert min(told[kind] for kind in kinds) >= 32, told
+    assert not any(found[k] for k in range(len(keys), len(found)))
+
+
 def test_secrets_on_awkward_rows(spark, awkward):
     rows = secrets.find_secrets(awkward).collect()
     assert len(rows) == 8 and all(r.spans == [] for r in rows)
