@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm import (
+    bpe,
+    centroids,
     covertree,
     decontaminate,
+    gnat,
     html,
     language,
     lines,
@@ -18,6 +22,7 @@ from feedlake.llm import (
     tokens,
 )
 from feedlake.llm.common import bucket_of, read_table
+from feedlake.llm.twins import TWINS
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +123,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, for each of its positives."""
+    return gnat.mine(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the bytes they decode to, as digests."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    codec = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    ids = bpe.encode(docs, codec).drop("text")
+    return bpe.digest(bpe.decode(ids, codec))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector with 64 components."""
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_training_order": op2_training_order,
@@ -129,5 +152,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_centroids": op13_centroids,
 }
-TWINS: dict[str, str] = {}
+
+__all__ = ["QUERIES", "TWINS"]
