@@ -11,7 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import numpy as np
@@ -20,14 +20,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import map_rows, strings
+from feedlake.llm.common import chunks, map_rows, strings
 
 # Fixed value: the pattern that splits text for these vocabularies.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-CHUNK = 1 << 16  # pre-tokens that are looked up at once
-REMEMBERED = 400_000  # words whose merges a process keeps, and as many of those before
+CHUNK = 1 << 18  # pre-tokens that are looked up at once
+BATCH = 1 << 22  # bytes of text that are encoded before their ids are handed on
+REMEMBERED = 500_000  # words whose merges a process keeps, and as many of those before
 REMEMBERED_BYTES = 64  # a longer word is merged each time
 _BUCKET = 4  # keys of a bucket of the hash, on average
 
@@ -72,6 +73,34 @@ class Words:
             step += 1
             rows = rows[self.sizes[rows] > 8 * step]
 
+    def of(self, rows: np.ndarray) -> Words:
+        """Some of the words, over the same buffer."""
+        out = Words.__new__(Words)
+        out._at, out._buffer = self._at, self._buffer
+        out.starts, out.sizes = self.starts[rows], self.sizes[rows]
+        return out
+
+    def distinct(self, rows: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One of ``rows`` for each different word, and the place there of each row's word."""
+        _, first, same = np.unique(hashes, return_index=True, return_inverse=True)
+        chosen = rows[first]
+        apart = ~self.of(rows).equal(self.of(chosen[same]))
+        if apart.any():  # other words of the same hash stand for themselves
+            others = np.flatnonzero(apart)
+            same[others] = len(chosen) + np.arange(len(others))
+            chosen = np.concatenate((chosen, rows[others]))
+        return chosen, same
+
+    def equal(self, other: Words) -> np.ndarray:
+        """Which words are the same as the other's at the same place."""
+        out = self.sizes == other.sizes
+        rows = np.flatnonzero(out)
+        for (_, at, a), (_, _, b) in zip(
+            self.of(rows).parts(), other.of(rows).parts(), strict=True
+        ):
+            out[rows[at]] &= a == b
+        return out
+
     def hashes(self, seed: int) -> np.ndarray:
         out = _mixed(self.sizes.astype(np.uint64) + np.uint64(seed))
         for _, rows, value in self.parts():
@@ -140,63 +169,59 @@ class PerfectHash:
         odd = moves * np.uint64(2) + np.uint64(1)
         return (_mixed(hashes * odd + odd) % np.uint64(self.count)).astype(np.int64)
 
-    def find(self, words: Words) -> np.ndarray:
+    def find(self, words: Words, hashes: np.ndarray) -> np.ndarray:
         """Rank of each word, -1 for those that are no key."""
-        hashes = words.hashes(self.seed)
         move = self.moves[(hashes % np.uint64(self.buckets)).astype(np.int64)]
         moved = self._moved(hashes, np.maximum(move, 0).astype(np.uint64))
         place = np.where(move < 0, -1 - move, moved)
-        same = self.sizes[place] == words.sizes
-        # Only words that have the size of their entry are compared, both read in equal steps.
-        rows = np.flatnonzero(same)
-        starts, sizes = words.starts[rows], words.sizes[rows]
-        mine = Words.__new__(Words)
-        mine._at, mine._buffer, mine.starts, mine.sizes = words._at, words._buffer, starts, sizes
-        entry = place[rows]
-        theirs = Words(self.buffer, self.starts[entry], self.starts[entry] + sizes)
-        equal = np.ones(len(rows), bool)
-        for (_, at, a), (_, _, b) in zip(mine.parts(), theirs.parts(), strict=True):
-            equal[at] &= a == b
-        out = np.full(len(same), -1, np.int64)
-        out[rows[equal]] = self.ranks[entry[equal]]
-        return out
+        starts = self.starts[place]
+        entries = Words(self.buffer, starts, starts + self.sizes[place])
+        return np.where(words.equal(entries), self.ranks[place], -1)
 
 
-def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+def merge(word: bytes, pair: list[int], ranks: dict[bytes, int]) -> list[int]:
     """Ranks of a word's parts once no neighbours can be merged any more.
 
-    ``ends`` and ``before`` link the parts that are left by their first bytes; ``pair`` has the rank
-    that a part would have with its neighbour. An entry of the heap is a rank and a first byte in
-    one number, and out of date where that pair has another rank by now.
+    ``pair`` has the rank that each byte would have together with the next one, -1 for none and at
+    the end; it is used up. ``ends`` and ``before`` link the parts that are left by their first
+    bytes. An entry of the heap is a rank and a first byte in one number, and out of date where the
+    pair there has another rank by now.
     """
-    size, get = len(word), ranks.get
-    own = [ranks[word[k : k + 1]] for k in range(size)]
-    pair = [get(word[k : k + 2], -1) for k in range(size - 1)]
-    pair.append(-1)
+    size, get, push, pop = len(word), ranks.get, heapq.heappush, heapq.heappop
+    bits = size.bit_length()
+    mask = (1 << bits) - 1
+    own = [-1] * size
     ends = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
-    heap = [rank * size + first for first, rank in enumerate(pair) if rank >= 0]
+    before = list(range(-1, size))
+    heap = [rank << bits | first for first, rank in enumerate(pair) if rank >= 0]
     heapq.heapify(heap)
     while heap:
-        rank, first = divmod(heapq.heappop(heap), size)
+        entry = pop(heap)
+        first, rank = entry & mask, entry >> bits
         if pair[first] != rank:
             continue
         second = ends[first]
         end = ends[first] = ends[second]
-        own[first], pair[second], pair[first] = rank, -1, -1
+        own[first] = rank
+        pair[second] = pair[first] = -1
+        before[end] = first
         if end < size:
-            before[end] = first
-            after = pair[first] = get(word[first : ends[end]], -1)
-            if after >= 0:
-                heapq.heappush(heap, after * size + first)
+            after = get(word[first : ends[end]])
+            if after is not None:
+                pair[first] = after
+                push(heap, after << bits | first)
         if first:
             left = before[first]
-            after = pair[left] = get(word[left:end], -1)
-            if after >= 0:
-                heapq.heappush(heap, after * size + left)
+            after = get(word[left:end])
+            if after is None:
+                pair[left] = -1
+            else:
+                pair[left] = after
+                push(heap, after << bits | left)
     out, first = [], 0
     while first < size:
-        out.append(own[first])
+        rank = own[first]
+        out.append(rank if rank >= 0 else ranks[word[first : first + 1]])
         first = ends[first]
     return out
 
@@ -229,46 +254,59 @@ class Codec:
     def open(self) -> Codec:
         """Makes what only a task needs; nothing of it is sent."""
         self._split = regex.compile(self.pattern)
+        #: Ranks of all pairs of bytes, -1 for those that are no entry.
+        self._pairs = np.full(1 << 16, -1, np.int32)
+        for word, rank in self.ranks.items():
+            if len(word) == 2:
+                self._pairs[word[0] << 8 | word[1]] = rank
         self._remembered = _REMEMBERED.setdefault(self.name, _Remembered())
         return self
 
     def __getstate__(self) -> dict:
         return {name: value for name, value in vars(self).items() if name[0] != "_"}
 
-    def _merge(self, word: bytes) -> bytes:
-        """Packed ids of a word that is no entry."""
-        held = self._remembered
-        found = held.newer.get(word)
-        if found is None:
-            found = held.older.get(word)
+    def _merged(self, data: np.ndarray, starts: list[int], ends: list[int]) -> list[bytes]:
+        """Packed ids of words that are no entries."""
+        content, held, out = data.tobytes(), self._remembered, []
+        wide = data.astype(np.int64)
+        pairs = self._pairs[wide[:-1] << 8 | wide[1:]]
+        for first, end in zip(starts, ends, strict=True):
+            word = content[first:end]
+            found = held.newer.get(word)
             if found is None:
-                found = np.array(merge(word, self.ranks), np.int32).tobytes()
-            if len(word) <= REMEMBERED_BYTES:
-                held.add(word, found)
-        return found
+                found = held.older.get(word)
+                if found is None:
+                    pair = pairs[first : end - 1].tolist()
+                    pair.append(-1)
+                    found = np.array(merge(word, pair, self.ranks), np.int32).tobytes()
+                if end - first <= REMEMBERED_BYTES:
+                    held.add(word, found)
+            out.append(found)
+        return out
 
     def ids(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of consecutive pre-tokens that end at ``ends``, and how many each has."""
         starts = np.concatenate(([0], ends[:-1]))
-        found = self.table.find(Words(data, starts, ends))
+        words = Words(data, starts, ends)
+        hashes = words.hashes(self.table.seed)
+        found = self.table.find(words, hashes)
         missed = np.flatnonzero(found < 0)
         if not len(missed):
             return found.astype(np.int32), np.ones(len(ends), np.int64)
-        content = data.tobytes()
-        parts = [
-            self._merge(content[a:b])
-            for a, b in zip(starts[missed].tolist(), ends[missed].tolist(), strict=True)
-        ]
+        # Equal words are merged once per chunk.
+        first, same = words.distinct(missed, hashes[missed])
+        parts = self._merged(data, starts[first].tolist(), ends[first].tolist())
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
+        merged, begin = np.frombuffer(b"".join(parts), np.int32), np.cumsum(sizes) - sizes
         counts = np.ones(len(ends), np.int64)
-        counts[missed] = [len(p) >> 2 for p in parts]
+        counts[missed] = sizes[same]
         begins = np.cumsum(counts) - counts
         out = np.empty(int(counts.sum()), np.int32)
         hit = found >= 0
         out[begins[hit]] = found[hit]
-        merged = np.frombuffer(b"".join(parts), np.int32)
-        sizes = counts[missed]
-        inner = np.arange(len(merged)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        out[np.repeat(begins[missed], sizes) + inner] = merged
+        sizes = sizes[same]
+        inner = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        out[np.repeat(begins[missed], sizes) + inner] = merged[np.repeat(begin[same], sizes) + inner]
         return out, counts
 
     def pieces(self, text: str) -> Iterator[list[int]]:
@@ -361,21 +399,43 @@ def load(path: str, pattern: str = PATTERN) -> Codec:
     return Codec(read_ranks(path), pattern)
 
 
-def encode(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
-    """Adds ``ids``, the token ids of the whole text.
+def _slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch, a bounded amount of text at a time; a longer text is alone."""
+    _, bounds = strings(batch.column(text))
+    for first, last in chunks(bounds, BATCH):
+        yield batch.slice(first, last - first)
+
 
-    A null or empty text has no ids. Every other column stays as it is; one named ``ids`` gives way.
-    Repeated rows are encoded each. Text that looks like a special token is ordinary text. A very
-    long text is looked up part by part. An empty table gives no rows.
+def encode(
+    docs: DataFrame,
+    codec: Codec,
+    text: str = "text",
+    keep: Sequence[str] | None = None,
+    decoded: bool = False,
+) -> DataFrame:
+    """Adds ``ids``, the token ids of the whole text, to the columns of ``keep`` (all by default).
+
+    With ``decoded`` the ids are decoded again in the same pass, into a column of that name. A null
+    or empty text has no ids and decodes to no bytes. Other columns stay as they are, but those
+    named like a result give way. Repeated rows are encoded each. Text that looks like a special
+    token is ordinary text. A very long text is looked up part by part. An empty table gives no
+    rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
         own = codec.open()
         for batch in batches:
-            yield batch, [own.encode_column(batch.column("_bpe_text"))]
-
-    held = docs.withColumn("_bpe_text", F.col(text).cast("string"))
-    return map_rows(held, "ids array<int>", run).drop("_bpe_text")
+            for part in _slices(batch, batch.schema.get_field_index(held)):
+                ids = own.encode_column(part.column(held))
+                yield part, [ids, own.decode_column(ids)] if decoded else [ids]
+
+    kept = list(docs.columns if keep is None else keep)
+    held = "_text_to_encode"
+    while held in docs.columns:
+        held += "_"
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias(held))
+    results = "ids array<int>, decoded binary" if decoded else "ids array<int>"
+    return map_rows(rows, results, run, kept)
 
 
 def decode(docs: DataFrame, codec: Codec, ids: str = "ids") -> DataFrame:

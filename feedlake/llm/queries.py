@@ -130,10 +130,9 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the bytes they decode to, as digests."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read_table(spark, sf_dir, "documents")
     codec = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    ids = bpe.encode(docs, codec).drop("text")
-    return bpe.digest(bpe.decode(ids, codec))
+    return bpe.digest(bpe.encode(docs, codec, keep=["doc_id"], decoded=True))
 
 
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:

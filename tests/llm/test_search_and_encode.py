@@ -154,7 +154,8 @@ def test_hash_is_minimal_and_perfect(codec):
     for asked in (words, strangers):
         ends = np.cumsum([len(w) for w in asked])
         starts = np.concatenate(([0], ends[:-1]))
-        found = table.find(bpe.Words(np.frombuffer(b"".join(asked), np.uint8), starts, ends))
+        held = bpe.Words(np.frombuffer(b"".join(asked), np.uint8), starts, ends)
+        found = table.find(held, held.hashes(table.seed))
         assert found.tolist() == [codec.ranks.get(w, -1) for w in asked]
 
 
@@ -175,6 +176,16 @@ def test_every_character_is_split_alike(codec, reference):
     assert codec.open().encode_column(pa.array([text]))[0].as_py() == reference.encode_ordinary(text)
 
 
+def test_words_of_one_hash_are_kept_apart():
+    asked = [b"abc", b"xyz", b"abc", b"", b"abcabcabcabc", b"abc", b"xyz"]
+    ends = np.cumsum([len(w) for w in asked])
+    words = bpe.Words(np.frombuffer(b"".join(asked), np.uint8), np.r_[0, ends[:-1]], ends)
+    for hashes in (words.hashes(1), np.zeros(len(asked), np.uint64)):
+        rows = np.arange(1, len(asked))
+        chosen, same = words.distinct(rows, hashes[rows])
+        assert [asked[k] for k in chosen[same]] == asked[1:]
+
+
 def test_remembered_words_are_bounded(codec, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 10)
     held = bpe._Remembered()
@@ -184,8 +195,13 @@ def test_remembered_words_are_bounded(codec, monkeypatch):
 
 
 def test_documents_are_encoded_whole(spark, awkward, codec, reference):
-    docs = awkward.withColumn("ids", F.lit("clash"))
+    docs = awkward.withColumn("ids", F.lit("clash")).withColumn("_text_to_encode", F.lit("no"))
     told = bpe.decode(bpe.encode(docs, codec), codec)
+    at_once = bpe.encode(docs, codec, keep=["doc_id"], decoded=True)
+    assert at_once.columns == ["doc_id", "ids", "decoded"]
+    assert sorted(map(repr, at_once.collect())) == sorted(
+        map(repr, told.select(*at_once.columns).collect())
+    )
     assert set(told.columns) == set(docs.columns) | {"decoded"}
     given = Counter((r.doc_id, r.text or "") for r in docs.collect())
     rows = told.collect()
