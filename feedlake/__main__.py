@@ -13,6 +13,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from feedlake.feeds import LINE_LIST, PANEL
+from feedlake.operators.quality import published_cleaning
 from feedlake.plans.jobs import Lake, land, run_stages, stages_after_landing
 from feedlake.sources import read_detected_csv
 
@@ -27,6 +28,8 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--day", help="snapshot day, today if left out")
     parser.add_argument("--encoding", default="UTF-8")
     parser.add_argument("--missing", choices=("null", "zero"), default="null")
+    parser.add_argument("--clean", action="store_true", help="apply the published quality rules")
+    parser.add_argument("--quarantine", action="store_true", help="set broken lines aside")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("feedlake").getOrCreate()
@@ -45,6 +48,8 @@ def main(arguments: list[str] | None = None) -> int:
         options.linelist_country,
         options.day,
         options.missing,
+        {feed.name: published_cleaning(feed) for feed in (PANEL, LINE_LIST)} if options.clean else None,
+        options.quarantine,
     )
     results = run_stages(stages)
     for result in results:

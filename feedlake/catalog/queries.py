@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedlake.catalog.deliveries import DELIVERIES
 from feedlake.catalog.round_trips import ROUND_TRIPS
 from feedlake.catalog.derived import (
     LINE_LIST_COUNTRY,
@@ -379,4 +380,5 @@ QUERIES = {
     "feed_sample": feed_sample,
     "feed_schema": feed_schema,
     **ROUND_TRIPS,
+    **DELIVERIES,
 }

@@ -7,139 +7,33 @@ from __future__ import annotations
 
 import json
 
+from feedlake.catalog.delivery_twins import DELIVERY_TWINS
+from feedlake.catalog.parts import (
+    COMBINED,
+    COMBINED_ROWS,
+    FITTED,
+    LINELIST,
+    LINELIST_DAILY,
+    LINELIST_RAW,
+    LINELIST_TYPED,
+    PANEL,
+    PANEL_DAILY,
+    PANEL_DAILY_ALL,
+    PANEL_RAW,
+    PANEL_TYPED,
+    TREND,
+    with_parts,
+)
 from feedlake.sinks import index_mapping
 
-PANEL_RAW = """panel_raw as (
-  select cast(l_suppkey % 20 as varchar) as dep,
-    case l_returnflag when 'A' then '0' when 'R' then '1' else '2' end as sexe,
-    cast(cast(l_shipdate as date) as varchar) as jour,
-    case when l_linenumber = 7 and l_quantity > 45 then 'n/a'
-      else cast(l_quantity as varchar) end as hosp,
-    case when l_linenumber = 7 then '' else cast(l_linenumber as varchar) end as rea,
-    cast(l_partkey % 100 as varchar) as rad,
-    case when l_linenumber = 7 then 'x' else cast(l_orderkey % 10 as varchar) end as dc
-  from lineitem)"""
-
-PANEL_TYPED = """panel_typed as (
-  select dep as department_code,
-    case sexe when '0' then 'ALL' when '1' then 'M' when '2' then 'F' else sexe end as sex,
-    try_cast(regexp_split_to_array(jour, '[T ]')[1] as date) as date,
-    cast(trunc(try_cast(hosp as double)) as integer) as hospitalizations,
-    cast(trunc(try_cast(rea as double)) as integer) as icu_patients,
-    cast(trunc(try_cast(rad as double)) as integer) as returned_home,
-    cast(trunc(try_cast(dc as double)) as integer) as deaths,
-    'PANEL' as country
-  from panel_raw)"""
-
-PANEL_FORMAT = """panel_format as (
-  select * from panel_typed
-  where hospitalizations is not null or icu_patients is not null or deaths is not null)"""
-
-
-def _panel_sums(name: str, condition: str, rows: str = "panel_format") -> str:
-    return f"""{name} as (
-  select date, country,
-    cast(sum(hospitalizations) as bigint) as total_hospitalizations,
-    cast(sum(icu_patients) as bigint) as total_icu,
-    cast(sum(deaths) as bigint) as total_deaths,
-    cast(sum(returned_home) as bigint) as total_recovered,
-    count(distinct department_code) as regions_count
-  from {rows} where date is not null and {condition}
-  group by date, country)"""
-
-
-PANEL_DAILY = _panel_sums("panel_daily", "sex in ('ALL', '0')")
-PANEL_DAILY_ALL = _panel_sums("panel_daily_all", "true", "panel_typed")
-
-LINELIST_RAW = """linelist_raw as (
-  select case when o_orderkey % 97 = 0 then 'unknown'
-      when o_orderkey % 2 = 0
-        then concat(cast(cast(o_orderdate as date) as varchar), ' 00:00:00')
-      else concat(cast(cast(o_orderdate as date) as varchar), 'T00:00:00.000')
-      end as fecha_reporte_web,
-    cast(o_orderkey as varchar) as id_de_caso,
-    cast(n_nationkey as varchar) as departamento,
-    n_name as departamento_nom,
-    case when o_orderkey % 89 = 0 then 'N/A' else cast(o_orderkey % 130 as varchar) end as edad,
-    case when o_custkey % 2 = 0 then ' m ' else 'F' end as sexo,
-    case when o_orderstatus = 'F' then 'Fallecido' when o_orderstatus = 'O' then 'Activo'
-      when o_custkey % 5 = 0 then 'N/A' when o_custkey % 7 = 0 then 'Leve'
-      else 'Recuperado' end as estado
-  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey)"""
-
-LINELIST_TYPED = """linelist_typed as (
-  select try_cast(regexp_split_to_array(fecha_reporte_web, '[T ]')[1] as date) as report_date,
-    id_de_caso as case_id,
-    departamento as department_code,
-    departamento_nom as department_name,
-    cast(trunc(try_cast(edad as double)) as integer) as age,
-    upper(trim(sexo)) as sex,
-    case estado when 'Recuperado' then 'RECOVERED' when 'Fallecido' then 'DECEASED'
-      when 'Activo' then 'ACTIVE' when 'N/A' then 'UNKNOWN' else estado end as status,
-    'LINELIST' as country
-  from linelist_raw)"""
-
-LINELIST_FORMAT = """linelist_format as (
-  select * from linelist_typed where report_date is not null)"""
-
-LINELIST_DAILY = """linelist_daily as (
-  select report_date as date, country,
-    count(*) as total_cases,
-    count(*) filter (where status = 'DECEASED') as total_deaths,
-    count(*) filter (where status = 'RECOVERED') as total_recovered,
-    count(*) filter (where status = 'ACTIVE') as active_cases,
-    count(distinct department_name) as regions_count,
-    avg(age) as avg_age
-  from linelist_format group by report_date, country)"""
-
-COMBINE_DAILY = """combine_daily as (
-  select *,
-    case when total_cases > 0 then round(total_deaths / total_cases * 100, 2) end
-      as mortality_rate,
-    case when total_cases > 0 then round(total_recovered / total_cases * 100, 2) end
-      as recovery_rate
-  from (
-    select date, country, cast(null as bigint) as total_cases, total_hospitalizations,
-      total_icu, total_deaths, total_recovered, cast(null as bigint) as active_cases,
-      regions_count, cast(null as double) as avg_age
-    from panel_daily
-    union all
-    select date, country, total_cases, null, null, total_deaths, total_recovered,
-      active_cases, regions_count, avg_age
-    from linelist_daily))"""
-
-TREND_FEATURES = """trend_features as (
-  select date, cast(day_number as integer) as day_number, label from (
-    select date, date_diff('day', min(date) over (), date) as day_number,
-      cast(total_hospitalizations as double) as label
-    from panel_daily)
-  where label is not null)"""
-
-TREND_FIT = """trend_fit as (
-  select regr_slope(label, day_number) as slope, regr_intercept(label, day_number) as intercept
-  from trend_features where day_number % 5 <> 0)"""
-
-PANEL = [PANEL_RAW, PANEL_TYPED, PANEL_FORMAT]
-LINELIST = [LINELIST_RAW, LINELIST_TYPED, LINELIST_FORMAT]
-COMBINED = [*PANEL, PANEL_DAILY, *LINELIST, LINELIST_DAILY, COMBINE_DAILY]
-TREND = [*PANEL, PANEL_DAILY, TREND_FEATURES]
-FITTED = [*TREND, TREND_FIT]
-
-
-def _with(parts: list[str], final: str) -> str:
-    return "with " + ",\n".join(parts) + "\n" + final
-
-
-PANEL_FORMAT_ROWS = _with(
+PANEL_FORMAT_ROWS = with_parts(
     PANEL,
     """select department_code, sex, date, hospitalizations, icu_patients, returned_home, deaths,
   country from panel_format""",
 )
-LINELIST_FORMAT_ROWS = _with(LINELIST, "select * from linelist_format")
-
-COMBINED_ROWS = _with(COMBINED, "select * from combine_daily")
+LINELIST_FORMAT_ROWS = with_parts(LINELIST, "select * from linelist_format")
 
-SUMMARY_ROWS = _with(
+SUMMARY_ROWS = with_parts(
     COMBINED,
     """select country, min(date) as first_date, max(date) as last_date, count(*) as total_days,
   cast(sum(total_cases) as bigint) as cumulative_cases,
@@ -245,9 +139,9 @@ ZERO_DOCUMENT = """cast(json_object('date', date, 'country', country,
 TWINS = {
     "panel_format": PANEL_FORMAT_ROWS,
     "linelist_format": LINELIST_FORMAT_ROWS,
-    "panel_daily": _with([*PANEL, PANEL_DAILY], "select * from panel_daily"),
-    "panel_daily_all": _with([*PANEL, PANEL_DAILY_ALL], "select * from panel_daily_all"),
-    "panel_daily_brief": _with(
+    "panel_daily": with_parts([*PANEL, PANEL_DAILY], "select * from panel_daily"),
+    "panel_daily_all": with_parts([*PANEL, PANEL_DAILY_ALL], "select * from panel_daily_all"),
+    "panel_daily_brief": with_parts(
         PANEL,
         """select date, country,
   cast(sum(hospitalizations) as bigint) as total_hospitalizations,
@@ -255,8 +149,8 @@ TWINS = {
   cast(sum(deaths) as bigint) as total_deaths
 from panel_format where sex = 'ALL' and date is not null group by date, country""",
     ),
-    "linelist_daily": _with([*LINELIST, LINELIST_DAILY], "select * from linelist_daily"),
-    "linelist_daily_join": _with(
+    "linelist_daily": with_parts([*LINELIST, LINELIST_DAILY], "select * from linelist_daily"),
+    "linelist_daily_join": with_parts(
         LINELIST,
         """select t.date, t.total_cases, r.regions_count, a.avg_age,
   coalesce(d.n, 0) as total_deaths, coalesce(c.n, 0) as total_recovered
@@ -273,7 +167,7 @@ left join (select report_date as date, count(*) as n
   on t.date = c.date""",
     ),
     "combine_daily": COMBINED_ROWS,
-    "combine_rates": _with(
+    "combine_rates": with_parts(
         COMBINED,
         """select date, country, mortality_rate, recovery_rate,
   case when total_cases > 0 then round(total_hospitalizations / total_cases * 100, 2) end
@@ -282,9 +176,9 @@ left join (select report_date as date, count(*) as n
     then round(total_icu / total_hospitalizations * 100, 2) end as icu_rate
 from combine_daily""",
     ),
-    "combine_daily_zero": _with(COMBINED_ZERO, ZERO_ROWS),
+    "combine_daily_zero": with_parts(COMBINED_ZERO, ZERO_ROWS),
     "summary_stats": SUMMARY_ROWS,
-    "country_stats": _with(
+    "country_stats": with_parts(
         COMBINED,
         """select country, count(*) as records,
   round(count(*) * 100.0::double / sum(count(*)) over (), 2) as share_pct,
@@ -295,7 +189,7 @@ from combine_daily""",
   cast(median(total_deaths) as double) as median_deaths
 from combine_daily group by country""",
     ),
-    "monthly_totals": _with(
+    "monthly_totals": with_parts(
         COMBINED,
         """select country, cast(date_trunc('month', date) as date) as month,
   cast(sum(total_hospitalizations) as bigint) as total_hospitalizations,
@@ -304,7 +198,7 @@ from combine_daily group by country""",
   cast(sum(total_recovered) as bigint) as total_recovered
 from combine_daily group by 1, 2""",
     ),
-    "series_by_country": _with(
+    "series_by_country": with_parts(
         COMBINED,
         """select date,
   cast(sum(total_deaths) filter (where country = 'PANEL') as bigint) as panel_deaths,
@@ -313,23 +207,23 @@ from combine_daily group by 1, 2""",
   cast(sum(total_cases) filter (where country = 'LINELIST') as bigint) as linelist_cases
 from combine_daily group by date""",
     ),
-    "current_stats": _with(
+    "current_stats": with_parts(
         COMBINED,
         """select country, date, total_hospitalizations, total_icu, total_deaths
 from combine_daily c
 where date = (select max(date) from combine_daily m where m.country = c.country)""",
     ),
-    "region_totals": _with(
+    "region_totals": with_parts(
         LINELIST,
         """select department_name, count(*) as total_cases,
   count(*) filter (where status = 'DECEASED') as total_deaths
 from linelist_format group by department_name""",
     ),
-    "daily_sample": _with(
+    "daily_sample": with_parts(
         COMBINED,
         "select date, country, total_deaths from combine_daily order by date, country limit 10",
     ),
-    "quality_report": _with(
+    "quality_report": with_parts(
         [PANEL_RAW, PANEL_TYPED, LINELIST_RAW, LINELIST_TYPED],
         """select feed, rows_in, rows_out, rows_in - rows_out as rows_dropped, null_keys,
   rows_out = 0 as is_empty
@@ -345,7 +239,7 @@ from (
     count(*) filter (where report_date is null)
   from linelist_typed)""",
     ),
-    "null_counts": _with(
+    "null_counts": with_parts(
         LINELIST,
         """select count(*) filter (where report_date is null) as report_date,
   count(*) filter (where case_id is null) as case_id,
@@ -354,16 +248,16 @@ from linelist_format""",
     ),
     "dedupe_rows": """select distinct o_orderkey, o_custkey, o_orderstatus from (
   select * from orders union all select * from orders where o_orderkey % 10 = 0)""",
-    "range_filter": _with(
+    "range_filter": with_parts(
         LINELIST,
         "select case_id, age from linelist_format where age between 0 and 120 or age is null",
     ),
-    "null_fill": _with(
+    "null_fill": with_parts(
         LINELIST,
         """select case_id, coalesce(age, 0) as age, coalesce(status, 'UNKNOWN') as status
 from linelist_format""",
     ),
-    "null_drop": _with(
+    "null_drop": with_parts(
         LINELIST,
         "select case_id, age from linelist_format where case_id is not null and age is not null",
     ),
@@ -386,42 +280,43 @@ where date_trunc('month', o_orderdate) =
     "panel_scan": PANEL_FORMAT_ROWS,
     "linelist_scan": LINELIST_FORMAT_ROWS,
     "usage_csv": COMBINED_ROWS,
-    "partitioned_usage": _with(
+    "partitioned_usage": with_parts(
         COMBINED,
         """select cast(year(date) as integer) as year, cast(month(date) as integer) as month,
   count(*) as days
 from combine_daily group by 1, 2""",
     ),
     "pipeline_summary": SUMMARY_ROWS,
-    "index_documents": _with(
+    "index_documents": with_parts(
         COMBINED, f"select country, date, {_document()} as document from combine_daily"
     ),
-    "index_documents_zero": _with(
+    "index_documents_zero": with_parts(
         COMBINED, f"select country, date, {_document('0')} as document from combine_daily"
     ),
-    "bulk_index": _with(
+    "bulk_index": with_parts(
         COMBINED,
         f"""select '{{"index":{{"_index":"daily-comparison"}}}}' || chr(10) || {_document()}
   as lines
 from combine_daily""",
     ),
-    "sink_reconcile": _with(
+    "sink_reconcile": with_parts(
         COMBINED,
-        """select country, count(*) as rows_source, count(*) as rows_target, true as ok
+        """select country, count(*) as rows_source, count(*) as rows_target, true as ok,
+  true as values_equal
 from combine_daily group by country""",
     ),
-    "trend_features": _with(TREND, "select * from trend_features"),
-    "trend_split": _with(
+    "trend_features": with_parts(TREND, "select * from trend_features"),
+    "trend_split": with_parts(
         TREND,
         """select case when day_number % 5 = 0 then 'test' else 'train' end as part,
   count(*) as n, min(day_number) as min_day, max(day_number) as max_day
 from trend_features group by 1""",
     ),
-    "trend_fit": _with(
+    "trend_fit": with_parts(
         FITTED,
         "select round(slope, 6) as slope, round(intercept, 6) as intercept from trend_fit",
     ),
-    "trend_metrics": _with(
+    "trend_metrics": with_parts(
         FITTED,
         """select round(sqrt(avg((y - p) * (y - p))), 6) as rmse,
   round(1 - sum((y - p) * (y - p)) / (sum(y * y) - sum(y) * sum(y) / count(*)), 6) as r2
@@ -430,7 +325,7 @@ from (
     (select intercept from trend_fit) + (select slope from trend_fit) * day_number as p
   from trend_features where day_number % 5 = 0)""",
     ),
-    "trend_forecast": _with(
+    "trend_forecast": with_parts(
         FITTED,
         """select cast(d as integer) as day_number,
   round((select intercept from trend_fit) + (select slope from trend_fit) * d, 0) as predicted
@@ -438,18 +333,18 @@ from (
   select unnest(generate_series(m + 1, m + 30)) as d
   from (select max(day_number) as m from trend_features))""",
     ),
-    "overall_stats": _with(
+    "overall_stats": with_parts(
         COMBINED,
         """select count(*) as records, count(distinct country) as countries,
   min(date) as first_date, max(date) as last_date
 from combine_daily""",
     ),
-    "feed_sample": _with(
+    "feed_sample": with_parts(
         LINELIST,
         """select report_date, department_name, age, sex, status, country
 from linelist_format order by report_date, case_id limit 5""",
     ),
-    "feed_schema": _with(
+    "feed_schema": with_parts(
         LINELIST,
         " union all ".join(
             f"select '{column}' as \"column\", '{kind}' as type, count({column}) as present "
@@ -457,21 +352,21 @@ from linelist_format order by report_date, case_id limit 5""",
             for column, kind in CASE_COLUMNS.items()
         ),
     ),
-    "index_documents_dag": _with(
+    "index_documents_dag": with_parts(
         [*COMBINED_ZERO, f"zero_daily as ({ZERO_ROWS})"],
         f"select country, date, {ZERO_DOCUMENT} as document from zero_daily",
     ),
-    "snapshot_fallback": _with(
+    "snapshot_fallback": with_parts(
         [PANEL_RAW],
         "select sexe, dep, count(*) as rows_read from panel_raw where sexe = '0' group by sexe, dep",
     ),
-    "landing_lines": _with(
+    "landing_lines": with_parts(
         [PANEL_RAW],
         """select case when sexe = '0' then dep || chr(8232) || 'end' else dep end as dep, jour, hosp
 from panel_raw""",
     ),
     "summary_csv": SUMMARY_ROWS,
-    "bulk_files": _with(
+    "bulk_files": with_parts(
         COMBINED,
         f"""select value, count(*) as n from (
   select {_document()} as value from combine_daily
@@ -481,39 +376,40 @@ from panel_raw""",
   select '{json.dumps(index_mapping())}')
 group by value""",
     ),
-    "pipeline_index": _with(
+    "pipeline_index": with_parts(
         COMBINED, "select country, count(*) as documents from combine_daily group by country"
     ),
-    "stage_results": _with(COMBINED, _stage_rows()),
-    "header_checks": _with([PANEL_RAW, LINELIST_RAW], _header_rows()),
-    "encoded_scan": _with(
+    "stage_results": with_parts(COMBINED, _stage_rows()),
+    "header_checks": with_parts([PANEL_RAW, LINELIST_RAW], _header_rows()),
+    "encoded_scan": with_parts(
         [LINELIST_RAW],
         "select id_de_caso, departamento_nom || ' á' as departamento_nom from linelist_raw",
     ),
     "fallback_scan": """select cast(o_orderkey as varchar) as order_key, o_orderstatus as status
 from orders""",
-    "inferred_scan": _with(
+    "inferred_scan": with_parts(
         COMBINED,
         """select date, country, total_deaths, mortality_rate, 'int' as inferred_as
 from combine_daily""",
     ),
-    "stamped": _with(
+    "stamped": with_parts(
         COMBINED,
         """select '2024-01-31' as stamp, count(*) as n from linelist_format
 union all
 select '2024-01-31 12:00:00', count(*) from combine_daily""",
     ),
-    "partitioned_append": _with(
+    "partitioned_append": with_parts(
         COMBINED,
         """select cast(year(date) as integer) as year, cast(month(date) as integer) as month,
   count(*) filter (where year(date) <> 1995 or country = 'PANEL')
     * (case when year(date) = 1994 then 2 else 1 end) as days
 from combine_daily group by year(date), month(date)""",
     ),
-    "sorted_csv": _with(
+    "sorted_csv": with_parts(
         COMBINED, "select count(*) as rows, true as in_order from combine_daily"
     ),
 }
 # The same results, read back from where a sink or a job left them.
 TWINS["metrics_file"] = TWINS["trend_metrics"]
 TWINS["pipeline_trend"] = TWINS["trend_forecast"]
+TWINS |= DELIVERY_TWINS

@@ -1,5 +1,6 @@
 """Column expressions shared by the operators. All run inside the JVM; none is a Python UDF."""
 
+from feedlake.functions.fingerprints import PARTS, fingerprint
 from feedlake.functions.measures import (
     guarded_pct,
     mean_of_pct,
@@ -9,8 +10,10 @@ from feedlake.functions.measures import (
 from feedlake.functions.parsing import coded, day_of, first_date, lenient_int, tidy
 
 __all__ = [
+    "PARTS",
     "coded",
     "day_of",
+    "fingerprint",
     "first_date",
     "guarded_pct",
     "lenient_int",

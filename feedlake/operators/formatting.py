@@ -2,22 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.feeds import Feed
-from feedlake.functions import coded, day_of, lenient_int, tidy
+from feedlake.functions import coded, day_of, first_date, lenient_int, tidy
+
+
+def _day_in(formats: Sequence[str], text: Column) -> Column:
+    """The day as it is always read, else by the first notation that fits its date part."""
+    date_part = F.split_part(F.split_part(text, F.lit("T"), F.lit(1)), F.lit(" "), F.lit(1))
+    return F.coalesce(day_of(text), first_date(date_part, formats))
 
 
 def typed_feed(
-    df: DataFrame, feed: Feed, country: str, ingestion_date: date | None = None
+    df: DataFrame,
+    feed: Feed,
+    country: str,
+    ingestion_date: date | None = None,
+    date_formats: Sequence[str] = (),
 ) -> DataFrame:
-    """Rename, type and code the columns that exist; every row and unmapped column stays."""
+    """Rename, type and code the columns that exist; every row and unmapped column stays.
+
+    ``date_formats`` are notations of dates that are read besides the usual one.
+    """
     named = df.withColumnsRenamed(dict(feed.renames))
     steps = (
-        (feed.dates, day_of),
+        (feed.dates, partial(_day_in, date_formats) if date_formats else day_of),
         (feed.ints, lenient_int),
         (feed.tidied, tidy),
     )
@@ -37,8 +52,12 @@ def row_is_kept(df: DataFrame, feed: Feed) -> Column:
 
 
 def format_feed(
-    df: DataFrame, feed: Feed, country: str, ingestion_date: date | None = None
+    df: DataFrame,
+    feed: Feed,
+    country: str,
+    ingestion_date: date | None = None,
+    date_formats: Sequence[str] = (),
 ) -> DataFrame:
     """The formatted table of a raw feed."""
-    typed = typed_feed(df, feed, country, ingestion_date)
+    typed = typed_feed(df, feed, country, ingestion_date, date_formats)
     return typed.where(row_is_kept(typed, feed))

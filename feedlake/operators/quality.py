@@ -8,15 +8,18 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
-from operator import or_
+from operator import and_, or_
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake.feeds import Feed
+from feedlake.functions.parsing import DATE_FORMATS
 from feedlake.operators.formatting import row_is_kept, typed_feed
 
 log = logging.getLogger(__name__)
@@ -114,6 +117,79 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def deduped_and_counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Each distinct row once, with the number of copies left out, filled in by the next action.
+
+    Copies are counted where they collapse, after the shuffle, so a task that is run again does not
+    count twice.
+    """
+    copies = "_copies_of_row"
+    # NULLs in a row are one value to a grouping, as to the removal of duplicates.
+    grouped = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias(copies))
+    observation = Observation(name)
+    left_out = F.coalesce(F.sum(F.col(copies) - 1), F.lit(0)).alias("rows")
+    return grouped.observe(observation, left_out).drop(copies), observation
+
+
+@dataclass(frozen=True)
+class Cleaning:
+    """What a job does to formatted rows, in this order; nothing by default."""
+
+    date_formats: tuple[str, ...] = ()
+    """Notations of dates tried in order instead of the one that is always read."""
+    ranges: Mapping[str, tuple[int, int]] = field(default_factory=dict)
+    """Columns with the least and greatest value that is plausible; NULL passes."""
+    nulls: str = "keep"
+    """``keep``, ``fill`` or ``drop``, for the columns of ``null_columns``."""
+    null_columns: tuple[str, ...] = ()
+    remove_duplicates: bool = False
+
+
+def published_cleaning(feed: Feed) -> Cleaning:
+    """The settings that feeds are published with: rows need their keys, ages are plausible."""
+    return Cleaning(
+        date_formats=DATE_FORMATS,
+        ranges={"age": AGE_RANGE} if "age" in feed.ints else {},
+        nulls="drop",
+        null_columns=feed.keys,
+        remove_duplicates=True,
+    )
+
+
+def clean(df: DataFrame, rules: Cleaning) -> tuple[DataFrame, dict[str, Observation]]:
+    """The rows that pass all rules, and per rule what counts the rows it left out.
+
+    The counts of the range and of the NULL rule ride along as sums of flags; all are filled in by
+    the next action. Only the removal of duplicates shuffles. A range of a column that the feed
+    does not bring is passed over with a warning; columns whose NULLs count must be there.
+    """
+    if absent := [c for c in rules.null_columns if c not in df.columns]:
+        raise FeedRejected(f"no columns {', '.join(absent)} to clean")
+    counts: dict[str, Observation] = {}
+
+    def leave_out(rows: DataFrame, rule: str, keeps: Column) -> DataFrame:
+        counts[rule] = Observation(f"{rule}_{uuid4().hex}")
+        left_out = F.count_if(~keeps).alias("rows")
+        return rows.observe(counts[rule], left_out).where(keeps)
+
+    for column, (low, high) in rules.ranges.items():
+        if column not in df.columns:
+            log.warning("no column %s to hold against its range", column)
+            continue
+        keeps = F.coalesce(in_range(column, low, high), F.lit(True))
+        df = leave_out(df, f"out_of_range_{column}", keeps)
+    if rules.nulls == "drop":
+        if not rules.null_columns:
+            raise ValueError("name the columns whose NULLs drop a row")
+        present = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in rules.null_columns])
+        df = leave_out(df, "null", present)
+    else:
+        df = handle_nulls(df, rules.nulls, rules.null_columns or None)
+    if rules.remove_duplicates:
+        df, counts["duplicates"] = deduped_and_counted(df, f"duplicates_{uuid4().hex}")
+    return df, counts
+
+
 def in_range(column: str, low: int = AGE_RANGE[0], high: int = AGE_RANGE[1]) -> Column:
     """Flag for a plausible value; NULL stays NULL."""
     return F.col(column).between(low, high)

@@ -19,6 +19,8 @@ from feedlake.operators.combine import combine_daily, combine_daily_zero
 from feedlake.operators.daily import linelist_daily, panel_daily
 from feedlake.operators.formatting import format_feed, typed_feed
 from feedlake.operators.quality import (
+    Cleaning,
+    clean,
     counted,
     require_headers,
     require_rows,
@@ -37,15 +39,20 @@ from feedlake.operators.trend import (
 from feedlake.sinks import (
     INDEX_FIELDS,
     ZERO_INDEX_FIELDS,
+    checked_documents,
     land_snapshot,
-    to_documents,
-    write_bulk,
+    write_checked_bulk,
     write_csv,
     write_metrics,
     write_sorted,
     write_table,
 )
-from feedlake.sources import read_snapshot, read_text_csv, snapshot_day
+from feedlake.sources import (
+    read_checked_snapshot,
+    read_snapshot,
+    read_text_csv,
+    snapshot_day,
+)
 
 log = logging.getLogger(__name__)
 
@@ -67,6 +74,10 @@ class Lake:
         """The typed feed without the row filter, which the zero-filled form is built from."""
         return f"{self.root}/formatted/{feed.name}_all_rows"
 
+    def quarantine(self, feed: Feed) -> str:
+        """Lines of the last formatted snapshot that are no rows."""
+        return f"{self.root}/formatted/{feed.name}_quarantine"
+
     def usage(self, table: str) -> str:
         return f"{self.root}/usage/{table}"
 
@@ -104,29 +115,47 @@ def format_snapshot(
     day: date | str | None = None,
     ingestion_date: date | None = None,
     all_rows: bool = False,
+    cleaning: Cleaning | None = None,
+    quarantine: bool = False,
 ) -> dict:
     """Types and filters a snapshot into the formatted layer, counting rows on the way.
 
     A named day must have landed; without one it is today's or the latest. With ``all_rows`` the
-    feed is typed but not filtered, into a table of its own.
+    feed is typed but not filtered, into a table of its own. ``cleaning`` applies its rules to the
+    typed rows and counts what each leaves out, under ``left_out``. With ``quarantine`` broken lines
+    are not bent into rows but written beside the feed, with file and reason; every line is then
+    either a row or in there.
     """
     chosen = snapshot_day(spark, lake.raw, feed, day)
-    raw = read_snapshot(spark, lake.raw, feed, chosen)
+    rules = cleaning or Cleaning()
+    details = {}
+    if quarantine:
+        checked = read_checked_snapshot(spark, lake.raw, feed, chosen)
+        raw = checked.rows
+        write_table(checked.rejects, lake.quarantine(feed))
+        details["quarantined"] = spark.read.parquet(lake.quarantine(feed)).count()
+    else:
+        raw = read_snapshot(spark, lake.raw, feed, chosen)
     form = typed_feed if all_rows else format_feed
-    require_rows(form(raw, feed, country, ingestion_date), f"formatted {feed.name}")
+    shape = form(raw, feed, country, ingestion_date, rules.date_formats)
+    require_rows(shape, f"formatted {feed.name}")
     rows, rows_in = counted(raw, f"{feed.name}_in")
-    formatted = form(rows, feed, country, ingestion_date)
+    formatted = form(rows, feed, country, ingestion_date, rules.date_formats)
     warn_if_unexpected(formatted, feed)
     require_types(formatted, feed)
-    kept, rows_out = counted(formatted, f"{feed.name}_out")
+    cleaned, left_out = clean(formatted, rules)
+    kept, rows_out = counted(cleaned, f"{feed.name}_out")
     path = lake.all_rows(feed) if all_rows else lake.formatted(feed)
     write_table(kept, path)
-    return {
+    details |= {
         "path": path,
         "day": chosen,
         "rows_in": rows_in.get["rows"],
         "rows_out": rows_out.get["rows"],
     }
+    if left_out:
+        details["left_out"] = {rule: count.get["rows"] for rule, count in left_out.items()}
+    return details
 
 
 def combine(
@@ -178,18 +207,12 @@ def model_trend(spark: SparkSession, lake: Lake, country: str) -> dict:
 def index(
     spark: SparkSession, lake: Lake, name: str = "daily-comparison", missing: str = "null"
 ) -> dict:
-    """Writes the comparison as index documents and verifies their number."""
+    """Writes the comparison as index documents, those an index would refuse apart, and counts."""
     daily = spark.read.parquet(lake.usage("daily_comparison"))
     fields = ZERO_INDEX_FIELDS if missing == "zero" else INDEX_FIELDS
-    rows, documents = counted(to_documents(daily, missing, fields), "documents")
     path = lake.usage("index")
-    write_bulk(rows, path, name, fields=fields)
-    # Each document takes an action line and a source line.
-    written = spark.read.text(f"{path}/bulk").count() // 2
-    expected = documents.get["rows"]
-    if written != expected:
-        raise RuntimeError(f"{expected} documents were sent but {written} were written")
-    return {"path": path, "documents": written}
+    counts = write_checked_bulk(checked_documents(daily, missing, fields), path, name, fields=fields)
+    return {"path": path, "documents": counts["written"], "rejected": counts["rejected"]}
 
 
 def run_stages(stages: Mapping[str, Callable[[], dict]]) -> list[StageResult]:
@@ -214,13 +237,34 @@ def stages_after_landing(
     linelist_country: str,
     day: date | str | None = None,
     missing: str = "null",
+    cleaning: Mapping[str, Cleaning] | None = None,
+    quarantine: bool = False,
 ) -> dict[str, Callable[[], dict]]:
-    """Formatting to indexing, in order, over the snapshots in the lake."""
+    """Formatting to indexing, in order, over the snapshots in the lake.
+
+    ``cleaning`` has the rules of feeds by their names.
+    """
+    rules = cleaning or {}
     return {
         "format_panel": lambda: format_snapshot(
-            spark, lake, PANEL, panel_country, day, all_rows=missing == "zero"
+            spark,
+            lake,
+            PANEL,
+            panel_country,
+            day,
+            all_rows=missing == "zero",
+            cleaning=rules.get(PANEL.name),
+            quarantine=quarantine,
+        ),
+        "format_linelist": lambda: format_snapshot(
+            spark,
+            lake,
+            LINE_LIST,
+            linelist_country,
+            day,
+            cleaning=rules.get(LINE_LIST.name),
+            quarantine=quarantine,
         ),
-        "format_linelist": lambda: format_snapshot(spark, lake, LINE_LIST, linelist_country, day),
         "combine": lambda: combine(spark, lake, missing),
         "model_trend": lambda: model_trend(spark, lake, panel_country),
         "index": lambda: index(spark, lake, missing=missing),

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import logging
 import re
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlake.feeds import Feed
 from feedlake.sources.delimited import read_detected_csv
+from feedlake.sources.quarantine import CheckedCsv, read_checked_csv
 
 log = logging.getLogger(__name__)
 
@@ -80,3 +82,36 @@ def read_snapshot(
     """The snapshot of :func:`snapshot_day`."""
     chosen = snapshot_day(spark, raw_root, feed, day)
     return read_detected_csv(spark, snapshot_path(raw_root, feed, chosen), encoding)
+
+
+def read_checked_snapshot(
+    spark: SparkSession,
+    raw_root: str,
+    feed: Feed,
+    day: date | str | None = None,
+    encoding: str = "UTF-8",
+) -> CheckedCsv:
+    """The snapshot of :func:`snapshot_day`, its broken lines set aside."""
+    chosen = snapshot_day(spark, raw_root, feed, day)
+    return read_checked_csv(spark, snapshot_path(raw_root, feed, chosen), encoding)
+
+
+def inputs_present(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """One row per named input: input, present (the path exists), files (with data, in the folder).
+
+    A job that needs several inputs asks this before it starts, and tells all that are absent at
+    once. Only names are looked at; hidden files and empty ones are no data.
+    """
+    context = spark.sparkContext
+    rows = []
+    for name, path in paths.items():
+        at = context._jvm.org.apache.hadoop.fs.Path(path)
+        files = at.getFileSystem(context._jsc.hadoopConfiguration())
+        present, held = files.exists(at), 0
+        if present:
+            found = files.listFiles(at, True)
+            while found.hasNext():
+                entry = found.next()
+                held += entry.getLen() > 0 and entry.getPath().getName()[0] not in "_."
+        rows.append((name, present, held))
+    return spark.createDataFrame(rows, "input string, present boolean, files bigint")

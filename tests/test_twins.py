@@ -13,7 +13,8 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test table
 NEVER = ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval", "Pandas")
 # Only one-row aggregates, per-country results and row limits may pass through one task.
 SINGLE = {
-    "country_stats", "daily_sample", "feed_sample", "feed_schema", "header_checks", "metrics_file",
+    "country_stats", "daily_sample", "feed_sample", "feed_schema", "header_checks", "inferred_types",
+    "metrics_file",
     "null_counts", "overall_stats", "quality_report", "sorted_csv",
 }
 
