@@ -19,7 +19,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import text_key
@@ -34,12 +35,13 @@ END = 50256
 LENGTH = 512  # tokens of a sequence
 PER_SHARD = 1024  # sequences of a shard
 ROUNDS = 6
+ROWS = 512  # documents that are encoded or cut before they are handed on
 # One record: doc_id, part and number of tokens as little-endian integers, then the tokens.
 HEAD = np.dtype([("doc_id", "<i8"), ("part", "<i4"), ("n_tokens", "<i4")])
 NO_ID = -(1 << 63)  # stands for a null id in records
 SHARD = (
     "shard_id bigint, first_slot bigint, n_sequences bigint, n_tokens bigint, stride int, "
-    "sha256 string, payload binary"
+    "sha256 string, doc_ids array<bigint>, payload binary"
 )
 
 
@@ -64,53 +66,19 @@ def encoder(ranks: str = RANKS):
 
 
 PIECE = 1 << 20  # characters of a text that are encoded at once
-REMEMBERED = 200_000  # words whose tokens a process keeps
 _CUT = re.compile(r"(?<=\S) (?=\S)")  # no token spans a cut before such a blank
 
 
-class _Words(dict):
-    """Packed tokens of words that follow a blank, made when first asked for."""
-
-    def __init__(self, ranks: str):
-        super().__init__()
-        self.encode = encoder(ranks).encode_ordinary
-
-    def __missing__(self, word: str) -> bytes:
-        tokens = np.array(self.encode(" " + word), "<u2").tobytes()
-        if len(self) < REMEMBERED and len(word) < 64:
-            self[word] = tokens
-        return tokens
-
-
-_WORDS: dict[str, _Words] = {}
-
-
-def _encode_piece(text: str, ranks: str) -> bytes:
-    words = _WORDS.get(ranks)
-    if words is None:
-        words = _WORDS[ranks] = _Words(ranks)
-    flat = text.replace("\n", " ")
-    # Printable text has no white space but blanks: where they stand alone, each is a cut or a line.
-    plain = flat.isprintable() and "  " not in flat and flat[0] != " " and flat[-1] != " "
-    parts = text.split(" ") if plain else _CUT.split(text)
-    opening = np.array(words.encode(parts[0]), "<u2").tobytes()
-    return opening + b"".join(map(words.__getitem__, parts[1:]))
-
-
 def encode(text: str, ranks: str = RANKS) -> np.ndarray:
-    """Token ids of one text with the end token: the tokenizer's own, found word by word."""
-    pieces, first = [], 0
+    """Token ids of one text with the end token; a very long text is encoded piece by piece."""
+    own, pieces, first = encoder(ranks), [], 0
     while first < len(text):
         cut = _CUT.search(text, first + PIECE) if len(text) - first > PIECE else None
         last = cut.start() if cut else len(text)
-        piece = text[first:last]
-        if first:  # it begins with the blank of the cut
-            pieces.append(b"".join(_WORDS[ranks][word] for word in _CUT.split(piece[1:])))
-        else:
-            pieces.append(_encode_piece(piece, ranks))
+        pieces.append(np.array(own.encode_ordinary(text[first:last]), "<u2"))
         first = last
-    pieces.append(np.array([END], "<u2").tobytes())
-    return np.frombuffer(b"".join(pieces), "<u2")
+    pieces.append(np.array([END], "<u2"))
+    return np.concatenate(pieces)
 
 
 def feistel(indexes: np.ndarray, count: int, key: int) -> np.ndarray:
@@ -139,8 +107,8 @@ def feistel(indexes: np.ndarray, count: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def sequences(docs: DataFrame, text: str = "text", length: int = LENGTH, ranks: str = RANKS):
-    """One row per sequence: doc_id, text key, part, n_tokens and the packed tokens."""
+def encoded(docs: DataFrame, text: str, length: int, ranks: str) -> DataFrame:
+    """One row per document: doc_id, text_key, parts (its sequences) and its packed tokens."""
     keyed = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         text_key(F.col(text)).alias("text_key"),
@@ -150,66 +118,100 @@ def sequences(docs: DataFrame, text: str = "text", length: int = LENGTH, ranks:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            ids, keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
-            out: list[tuple] = []
-            for doc_id, key, value in zip(ids, keys, batch.column("text"), strict=True):
-                tokens = encode(value.as_py(), ranks)
-                for part, first in enumerate(range(0, len(tokens), length)):
-                    own = tokens[first : first + length]
-                    out.append((doc_id, key, part, len(own), pack(own.tobytes())))
-                if len(out) >= 4096:
-                    yield _batch(out)
-                    out = []
-            if out:
-                yield _batch(out)
-
-    return keyed.mapInArrow(
-        run, "doc_id bigint, text_key bigint, part int, n_tokens int, tokens binary"
-    )
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
+                whole = [encode(value.as_py(), ranks) for value in part.column("text")]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        part.column("text_key"),
+                        pa.array([-(-len(own) // length) for own in whole], pa.int32()),
+                        pa.array([pack(own.tobytes()) for own in whole], pa.binary()),
+                    ],
+                    ["doc_id", "text_key", "parts", "tokens"],
+                )
+
+    return keyed.mapInArrow(run, "doc_id bigint, text_key bigint, parts int, tokens binary")
+
+
+def first_indexes(rows: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """The index of each document's first sequence, as ``begin`` of its range plus ``first``.
+
+    Narrow keys are range-sorted, sequences are counted up within each range, and the result is
+    settled: row, range, first. Only one total per range reaches the driver. Rows equal in id and
+    text have equal tokens, so which of them comes first makes no difference.
+    """
+    keys = ["doc_id", "text_key", "row"]
+    narrow = rows.select(*keys, "parts")
+    ordered = narrow.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            parts = batch.column("parts").to_numpy().astype(np.int64)
+            ends = seen + np.cumsum(parts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("row"),
+                    pa.array(np.full(len(parts), own), pa.int32()),
+                    pa.array(ends - parts, pa.int64()),
+                    pa.array(ends, pa.int64()),
+                ],
+                ["row", "range", "first", "end"],
+            )
+            seen = int(ends[-1]) if len(ends) else seen
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-    names = ["doc_id", "text_key", "part", "n_tokens", "tokens"]
-    columns = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
+    counted = settle(
+        ordered.mapInArrow(run, "row bigint, range int, first bigint, end bigint"), "token_order"
     )
+    totals = counted.groupBy("range").agg(F.max("end").alias("n")).collect()
+    total, begin = 0, {}
+    for r in sorted(totals, key=lambda r: r["range"]):
+        begin[r["range"]] = total
+        total += r["n"]
+    begin[-1] = total
+    return counted.drop("end"), begin
 
 
-def with_slots(rows: DataFrame, key: int) -> DataFrame:
-    """``rows`` (settled sequences with a ``row`` number) with their global ``slot``.
+def slotted(rows: DataFrame, key: int, length: int) -> DataFrame:
+    """One row per sequence with its global slot, from settled documents with a ``row`` number.
 
-    Narrow keys are range-sorted and settled; a row's index is its place there, its partition's
-    first index plus its place within. Only one number per partition reaches the driver. Rows equal
-    in id, text and part have equal tokens, so which of them comes first makes no difference.
+    Whole documents meet their first index; they are cut into sequences behind that join.
     """
-    keys = ["doc_id", "text_key", "part"]
-    # Repeats of a sequence are told apart, and spread, by the row number they were settled with.
-    ordered = rows.select(*keys, "row").repartitionByRange(*keys, "row").sortWithinPartitions(*keys, "row")
-    ranked = settle(ordered.withColumn("place", F.monotonically_increasing_id()), "token_order")
-    split = F.shiftright("place", 33)
-    counts = sorted(
-        (int(r["p"]), int(r["n"]))
-        for r in ranked.groupBy(split.alias("p")).agg(F.count("*").alias("n")).collect()
-    )
-    total, first = 0, {}
-    for partition, size in counts:
-        first[partition] = total
-        total += size
-    count = total
+    firsts, begin = first_indexes(rows)
+    count = begin.pop(-1)
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            places = batch.column("place").to_numpy()
-            begins = np.array([first[p] for p in (places >> 33).tolist()], np.int64)
-            slots = feistel(begins + (places & ((1 << 33) - 1)), count, key)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(slots, pa.int64())], ["row", "slot"]
-            )
-
-    slots = ranked.mapInArrow(run, "row bigint, slot bigint")
-    return rows.join(slots, "row").drop("row")
+            for at in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(at, ROWS)
+                parts = rows.column("parts").to_numpy().astype(np.int64)
+                begins = np.array([begin[r] for r in rows.column("range").to_pylist()], np.int64)
+                first = begins + rows.column("first").to_numpy()
+                within = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+                slots = feistel(np.repeat(first, parts) + within, count, key)
+                sizes, cells = [], []
+                for cell in rows.column("tokens"):
+                    own = np.frombuffer(unpack(cell.as_py()), "<u2")
+                    cut = [own[k : k + length] for k in range(0, len(own), length)]
+                    sizes += map(len, cut)
+                    cells += [pack(c.tobytes()) for c in cut]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column("doc_id").take(pa.array(np.repeat(np.arange(len(parts)), parts))),
+                        pa.array(within, pa.int32()),
+                        pa.array(sizes, pa.int32()),
+                        pa.array(slots, pa.int64()),
+                        pa.array(cells, pa.binary()),
+                    ],
+                    ["doc_id", "part", "n_tokens", "slot", "tokens"],
+                )
+
+    return rows.join(firsts, "row").mapInArrow(
+        run, "doc_id bigint, part int, n_tokens int, slot bigint, tokens binary"
+    )
 
 
 def write_order(
@@ -222,15 +224,17 @@ def write_order(
 ) -> DataFrame:
     """The shards of all ``docs``: one row each with its payload of fixed-stride records.
 
+    ``doc_ids`` has the distinct ids in a shard, in order, without those that are null.
+
     Every document ends with the end token, so a null or empty text is one sequence of that token
     alone. Repeated rows give repeated sequences. A null id is ``NO_ID`` in records. The unused rest
     of a record is filled with the end token. An empty table gives no shard.
     """
-    numbered = sequences(docs, text, length, ranks).withColumn(
+    numbered = encoded(docs, text, length, ranks).withColumn(
         "row", F.monotonically_increasing_id()
     )
-    rows = settle(numbered, "token_sequences")
-    slotted = with_slots(rows, key).withColumn(
+    rows = settle(numbered, "token_documents")
+    placed = slotted(rows, key, length).withColumn(
         "shard_id", F.floor(F.col("slot") / per_shard).cast("bigint")
     )
     kind = record_type(length)
@@ -255,12 +259,13 @@ def write_order(
                 "n_tokens": [int(records["n_tokens"].sum())],
                 "stride": [kind.itemsize],
                 "sha256": [hashlib.sha256(payload).hexdigest()],
+                "doc_ids": [np.unique(records["doc_id"][records["doc_id"] != NO_ID])],
                 "payload": [payload],
             }
         )
 
     # Ids with gaps would come as floats and lose digits, so nulls are replaced beforehand.
-    filled = slotted.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    filled = placed.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
     return filled.groupBy("shard_id").applyInPandas(pack, SHARD)
 
 
@@ -286,7 +291,3 @@ def read_slots(shards: DataFrame, first: int, last: int, length: int = LENGTH) -
 def decode(tokens: np.ndarray, ranks: str = RANKS) -> str:
     """Text of one document's tokens, without the end token."""
     return encoder(ranks).decode([int(t) for t in tokens if t != END])
-
-
-def open_shards(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SHARD).parquet(path)

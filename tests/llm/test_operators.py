@@ -114,7 +114,7 @@ def test_permutation_is_a_bijection():
     ).tolist()
 
 
-def test_encoding_word_by_word_is_the_tokenizers_own(monkeypatch):
+def test_encoding_piece_by_piece_is_the_tokenizers_own(monkeypatch):
     monkeypatch.setattr(tokens, "PIECE", 50)
     draw = random.Random(1)
     parts = ["the", " ", "  ", "\n", "\t", "don't", "é", " ", "\x1c", "42", "!?", " a", "日本"]
@@ -140,6 +140,11 @@ def test_shards_round_trip_and_resume(spark, awkward):
     other = tokens.write_order(awkward.repartition(5), key=4, length=32, per_shard=7)
     digests = {r.shard_id: r.sha256 for r in shards.collect()}
     assert {r.shard_id: r.sha256 for r in other.collect()} == digests
+    per_shard = {r.shard_id: set(r.doc_ids) for r in shards.collect()}
+    expected = collections.defaultdict(set)
+    for slot, doc_id, _, _ in rows:
+        expected[slot // 7] |= set() if doc_id is None else {doc_id}
+    assert per_shard == expected
     assert tokens.write_order(awkward.limit(0)).count() == 0
 
 
