@@ -510,7 +510,8 @@ def test_types_are_the_meet_of_all_cells(spark, tmp_path):
     texts = read_text_csv(spark, path)
     types = infer_types(texts)
     assert {r.column: r.type for r in types.collect()} == expected
-    assert types._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    plan = infer_types(texts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
     typed = read_inferred_csv(spark, path)
     assert dict(typed.dtypes) == expected
     assert typed.agg(F.sum("bigint")).first()[0] == 1 + 2147483648 - 9223372036854775808
