@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import map_rows, text_key
@@ -122,24 +122,35 @@ def fit(texts: list[str], languages: list[str]) -> LanguageModel:
 def train(rows: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     """Fits on a bounded sample of ``rows`` (text, lang).
 
-    Every language gives about ``per_language`` rows, those of the smallest hash, so languages
-    weigh alike and the sample does not depend on the order of rows. Rows without a text, a
-    language or a letter, and texts beyond ``LONGEST_SAMPLE`` characters, are not learned from.
+    Every language gives about ``per_language`` different texts, those of the smallest hash, and
+    never more than twice as many; so languages weigh alike, and neither copies nor the order of
+    rows change the sample. Rows without a text, a language or a letter, and texts beyond
+    ``LONGEST_SAMPLE`` characters, are not learned from.
+
+    The draw is made on narrow keys of language and text. Only the texts drawn are moved, and copies
+    of one collapse before that. What is broadcast is a count per language, then the keys drawn.
     """
-    usable = rows.select("text", "lang").where(
-        "lang is not null and text rlike '\\\\p{L}' and length(text) <= " + str(LONGEST_SAMPLE)
+    usable = (
+        rows.select("text", "lang")
+        .where(
+            "lang is not null and text rlike '\\\\p{L}' and length(text) <= "
+            + str(LONGEST_SAMPLE)
+        )
+        .withColumn("k", text_key(F.col("text")))
     )
-    sizes = usable.groupBy("lang").count().withColumnRenamed("lang", "known")
-    draw = F.pmod(text_key(F.col("text")), F.lit(1 << 30)) / float(1 << 30)
+    keys = usable.select("lang", "k").distinct()
+    sizes = keys.groupBy("lang").agg(F.count("*").alias("n"))
+    draw = F.pmod(F.col("k"), F.lit(1 << 30)) / float(1 << 30)
+    drawn = keys.join(F.broadcast(sizes), "lang").where(draw * F.col("n") < per_language)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(draw, "k"))
+    chosen = drawn.withColumn("rank", rank).where(F.col("rank") <= 2 * per_language)
     sample = (
-        usable.join(sizes, usable["lang"] == sizes["known"])
-        .where(draw * F.col("count") < per_language)
-        .select("lang", "text", text_key(F.col("text")).alias("k"))
+        usable.join(F.broadcast(chosen.select("lang", "k")), ["lang", "k"])
+        .groupBy("lang", "k")
+        .agg(F.min("text").alias("text"))
         .toPandas()
-        .sort_values(["lang", "k", "text"])
-        .drop_duplicates()
+        .sort_values(["lang", "k"])
     )
-    sample = sample.groupby("lang").head(2 * per_language)  # many copies of one text
     return fit(sample["text"].tolist(), sample["lang"].tolist())
 
 

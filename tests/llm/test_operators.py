@@ -344,6 +344,19 @@ def test_language_on_held_out_rows(spark):
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
+def test_language_sample_is_bounded_and_without_copies(spark, monkeypatch):
+    rows = [("the same text again", "en")] * 300 + [(f"text {chr(97 + k % 26)} {k}", "en")
+            for k in range(300)] + [(f"phrase {k}", "fr") for k in range(30)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda *given: seen.append(list(zip(*given, strict=True))))
+    language.train(docs, 20)
+    language.train(docs.repartition(3), 20)
+    assert seen[0] == seen[1] and len(set(seen[0])) == len(seen[0])
+    for lang, least in (("en", 5), ("fr", 10)):
+        assert least <= sum(known == lang for _, known in seen[0]) <= 40
+
+
 # --- HTML
 
 
