@@ -94,31 +94,34 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
 
 
 def reconcile(
-    source: DataFrame, target: DataFrame, keys: Sequence[str] = ("country",)
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str] = ("country",),
+    values: bool = False,
 ) -> DataFrame:
-    """Row counts and fingerprints of a source and of what was read back from its target, per key.
+    """Row counts of a source and of what was read back from its target, per key.
 
-    ``ok`` compares the counts, ``values_equal`` the fingerprints of all columns of the source,
-    which show a changed value where the counts agree. The target's columns are first cast to the
-    source's types. Both sides are added up in one aggregation, so a key missing on either side
-    shows, and nothing is sorted or joined.
+    Counts of both sides are added up in one aggregation, so a key missing on either side shows.
+    With ``values`` a column ``values_equal`` compares fingerprints of all columns of the source,
+    which show a changed value where the counts agree; the target's columns are cast to the
+    source's types for it. Nothing is sorted or joined for either.
     """
-    kinds = {f.name: f.dataType for f in source.schema.fields}
-    columns = list(kinds)
+    kinds = {f.name: f.dataType for f in source.schema.fields if values or f.name in keys}
     side = "_reconciled_side"
     as_source = target.select([F.col(f"`{c}`").cast(kind).alias(c) for c, kind in kinds.items()])
-    rows = source.withColumn(side, F.lit(0)).unionByName(as_source.withColumn(side, F.lit(1)))
+    rows = source.select(*[F.col(f"`{c}`") for c in kinds]).withColumn(side, F.lit(0))
+    rows = rows.unionByName(as_source.withColumn(side, F.lit(1)))
     own, other = F.col(side) == 0, F.col(side) == 1
+    prints = [
+        F.struct(*fingerprint(list(kinds), own)).alias("own"),
+        F.struct(*fingerprint(list(kinds), other)).alias("other"),
+    ]
     sums = rows.groupBy(*keys).agg(
         F.count_if(own).alias("rows_source"),
         F.count_if(other).alias("rows_target"),
-        F.struct(*fingerprint(columns, own)).alias("own"),
-        F.struct(*fingerprint(columns, other)).alias("other"),
-    )
-    return sums.select(
-        *keys,
-        "rows_source",
-        "rows_target",
-        (F.col("rows_source") == F.col("rows_target")).alias("ok"),
-        (F.col("own") == F.col("other")).alias("values_equal"),
+        *(prints if values else []),
     )
+    told = [(F.col("rows_source") == F.col("rows_target")).alias("ok")]
+    if values:
+        told.append((F.col("own") == F.col("other")).alias("values_equal"))
+    return sums.select(*keys, "rows_source", "rows_target", *told)

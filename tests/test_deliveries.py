@@ -154,7 +154,8 @@ def test_reconcile_sees_a_changed_cell(spark):
     as_text = source.select([F.col(c).cast("string").alias(c) for c in source.columns])
 
     def told(target):
-        return {r.country: (r.ok, r.values_equal) for r in reconcile(source, target).collect()}
+        rows = reconcile(source, target, values=True)
+        return {r.country: (r.ok, r.values_equal) for r in rows.collect()}
 
     assert told(as_text) == {"A": (True, True), "B": (True, True)}
     assert told(other) == {"A": (True, False), "B": (True, True)}
