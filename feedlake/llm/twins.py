@@ -91,8 +91,39 @@ select vec_id, cast(best.cluster as integer) as cluster, best.distance as distan
 from assigned_{rounds} join centers_{rounds} on best.cluster = cluster"""
 
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+CONTAMINATION = f"""with docs as (
+  select row_number() over () as row, doc_id, regexp_extract_all({_LOWER}, '{_WORD}') as words
+  from documents),
+items as (
+  select item_id, regexp_extract_all({_LOWER}, '{_WORD}') as words from benchmark),
+item_windows as (
+  select item_id, size, array_to_string(words[place:place + size - 1], ' ') as text
+  from (select item_id, words, size, unnest(range(1, len(words) - size + 2)) as place
+    from (select *, least(len(words), 13) as size from items where len(words) > 0))),
+doc_windows as (
+  select row, size, place, array_to_string(words[place:place + size - 1], ' ') as text
+  from (select row, words, size, unnest(range(1, len(words) - size + 2)) as place
+    from docs cross join (select distinct size from item_windows) where len(words) >= size)),
+found as materialized (
+  select row, place, size, item_id from doc_windows join item_windows using (size, text)),
+hits as (
+  select row, count(distinct hit_at) as n_hit
+  from (select distinct row, unnest(range(place, place + size)) as hit_at from found) group by row),
+named as (
+  select row, count(*) as n_items, string_agg(name, ',' order by name) as names
+  from (select distinct row, cast(item_id as varchar) as name from found) group by row)
+select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(names, '')) as items_sha256,
+  coalesce(n_hit > 0 and 20 * n_hit >= len(words), false) as contaminated
+from docs left join hits using (row) left join named using (row)"""
+
+
 TWINS = {
     "op7_cover_tree": TOP_K,
+    "op10_decontaminate": CONTAMINATION,
     "op11_hard_negatives": HARD_NEGATIVES,
     "op13_centroids": _clusters(),
 }
