@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -388,6 +389,78 @@ def test_broken_and_empty_pages(spark):
     assert html.extract_text(pages.limit(0)).count() == 0
 
 
+LONG = "This, as we said before, is one of those sentences that make up a text, and a long one. " * 3
+PART = f"<p>{LONG}</p><p>{LONG}</p>"
+LINES = [LONG.strip()] * 2
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        # A heading and a short section beside the best container.
+        (f"<div id=wrap><h1>Title</h1><div class=text>{PART}</div></div>", ["Title", *LINES]),
+        (
+            f"<div><h1>T</h1><p>By us</p><div>{PART * 2}</div><section><p>Short.</p></section>"
+            f"<div>{PART}</div><div><a href=x>More</a></div></div>",
+            ["T", "By us", *LINES * 2, "Short.", *LINES],
+        ),
+        # Two parts of a page, and an article with teasers and reader comments beside it.
+        (f"<article>{PART}</article><article><h2>B</h2>{PART}</article>", [*LINES, "B", *LINES]),
+        (
+            f"<article>{PART}</article><article><a href=x>Other news of today</a></article>"
+            f"<article class=comment>{PART}</article>",
+            LINES,
+        ),
+        # Words that mark furniture, in names of other things.
+        (
+            f'<article><div class="social-history"><p>It was so.</p></div><section id="related-work">'
+            f'{PART}</section><div class="related-posts"><p>{LONG}</p></div><div class="share-it">'
+            f"<a href=x>Here</a></div></article>",
+            ["It was so.", *LINES],
+        ),
+        (f'<div class="notice-board-history">{PART}</div>', LINES),
+        # A form around the whole page.
+        (f"<form><nav>Menu</nav><article>{PART}<form>x</form></article></form>", LINES),
+        # Quotes that are not closed, and signs that are no markup.
+        (f"<div title=it's class='a>b'>{PART}</div>", LINES),
+        (f'<div class="text>{PART}</div>', LINES),
+        ("<p>a < b and 3<4 & c", ["a < b and 3<4 & c"]),
+    ],
+)
+def test_main_text_loses_nothing(page, expected):
+    assert html.extract(page).split("\n") == expected
+
+
+@pytest.mark.parametrize("tag", sorted(html.MEDIA | html.RAW | html.CHOICES))
+def test_elements_that_are_never_closed(tag):
+    page = f"<body><article><p>{LONG}<div><{tag} src=x></div><p>{LONG}</article></body>"
+    assert html.extract(page).split("\n") == LINES
+    closed = f"<body><article><p>{LONG}<div><{tag}>gone</{tag}></div><p>{LONG}</article></body>"
+    assert html.extract(closed).split("\n") == LINES
+    if tag in html.MEDIA:
+        assert html.extract(f"<article><{tag} src=x>{PART}</article>").split("\n") == LINES
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<b ", "a <b c ", "<b>", "x<div>", "<a x='>' ", "<video>", "<![CDATA[", "<!--x", "<p>a<i>b</p></i>",
+     "<", "<table><tr><td>", "<script>", "<a href=x>y", "<span hidden>", "&", "<p class=social-x>y"],
+)
+def test_time_grows_with_the_page_only(piece):
+    def seconds(size: int) -> float:
+        page = piece * (size // len(piece))
+        start = time.process_time()
+        html.extract(page)
+        return time.process_time() - start
+
+    assert seconds(600_000) < 20 * max(seconds(60_000), 0.05)
+
+
+def test_text_in_deep_elements_is_kept():
+    page = "<div>" * 5000 + "deep" + "</div>" * 5000 + "after"
+    assert html.extract(page).split("\n") == ["deep", "after"]
+
+
 def test_pages_of_the_test_tables(spark):
     rows = queries.op6_main_text(spark, SF).collect()
     source = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
