@@ -34,6 +34,28 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), F.length(text))
 
 
+def row_key(df: DataFrame) -> Column:
+    """Stands for a whole row: rows of equal text and row key are the same in every column."""
+
+    def hashed(field: T.StructField) -> Column:
+        kind = field.dataType.simpleString()
+        unordered = "map<" in kind or "variant" in kind
+        return F.to_json(F.struct(field.name)) if unordered else F.col(field.name)
+
+    return F.xxhash64(F.lit("row"), *[hashed(field) for field in df.schema.fields])
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it new to ``df``."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offsets of its rows; null rows are empty."""
     if isinstance(column, pa.ChunkedArray):

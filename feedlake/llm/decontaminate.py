@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import chunks, map_rows, strings, text_key
+from feedlake.llm.common import chunks, free_names, map_rows, strings, text_key
 from feedlake.llm.wordhash import ALPHANUMERIC, hash_words
 
 WINDOW = 13  # words of a test phrase
@@ -306,15 +306,17 @@ def find_contamination(
         found.append(_search_block(docs, phrases, text))
     out = found[0]
     if blocks > 1:
+        doc, own = free_names(docs, "doc", "own")
         parts = [
-            df.select("doc_id", text_key(F.col(text)).alias("_text"), "n_words", "spans",
+            df.select(F.col("doc_id").alias(doc), text_key(F.col(text)).alias(own), "n_words", "spans",
                       "item_ids", "other_items")
             for df in found
         ]
         together = parts[0]
         for part in parts[1:]:
             together = together.unionByName(part)
-        together = together.groupBy("doc_id", "_text").agg(
+        # Repeated rows give the same in every block, however many they are.
+        together = together.distinct().groupBy(doc, own).agg(
             F.max("n_words").alias("n_words"),
             _merged(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
@@ -323,9 +325,9 @@ def find_contamination(
         clash = [c for c in docs.columns if c.lower() in {n.lower() for n in together.columns[2:]}]
         left = docs.drop(*clash)
         out = left.join(
-            together.withColumnsRenamed({"doc_id": "_doc"}),
-            left["doc_id"].eqNullSafe(F.col("_doc")) & (text_key(left[text]) == F.col("_text")),
-        ).drop("_doc", "_text")
+            together,
+            left["doc_id"].eqNullSafe(together[doc]) & (text_key(left[text]) == together[own]),
+        ).drop(doc, own)
         total = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"])
         out = out.withColumn("n_hit", total)
     return out.withColumn(

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import text_key
+from feedlake.llm.common import free_names, text_key
 from feedlake.plans.shared import discard, settle
 
 SHORTEST = 16  # characters from which a line may differ by an edit; shorter ones must be equal
@@ -170,17 +170,18 @@ def find_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def drop_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the dropped lines cut from their texts; null texts stay null."""
-    found = find_repeats(docs, text).withColumnsRenamed(
-        {"doc_id": "_doc", "text_key": "_key", "dropped": "_dropped"}
-    ).drop("n_lines")
-    keyed = docs.withColumn("_text", text_key(F.col(text)))
+    doc, key, own, cut = free_names(docs, "doc", "key", "own", "cut")
+    found = find_repeats(docs, text).select(
+        F.col("doc_id").alias(doc), F.col("text_key").alias(key), F.col("dropped").alias(cut)
+    )
+    keyed = docs.withColumn(own, text_key(F.col(text)))
     lines = F.split(F.col(text), "\n")
     kept = F.filter(
         F.transform(lines, lambda line, k: F.struct(line.alias("line"), k.alias("k"))),
-        lambda row: ~F.array_contains(F.col("_dropped"), row["k"]),
+        lambda row: ~F.array_contains(F.col(cut), row["k"]),
     )
     joined = keyed.join(
-        found, keyed["doc_id"].cast("bigint").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_key"))
+        found, keyed["doc_id"].cast("bigint").eqNullSafe(found[doc]) & (keyed[own] == found[key])
     )
     return joined.withColumn(text, F.array_join(F.transform(kept, lambda r: r["line"]), "\n")).select(
         *docs.columns

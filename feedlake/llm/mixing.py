@@ -6,6 +6,9 @@ flight phase moves these probabilities along the null space of two constraints,
 of words and its number of documents, until they are 0 or 1. It runs in blocks of bounded size; what
 a block cannot decide, two or three small documents, goes on to the next round, so each round is
 some hundred times smaller. The last few documents of a source are landed, the word total first.
+
+Rows that are equal in every column are one unit with a number of rows, however many they are. They
+take the whole part of the rate times that number, and draw for what is left of it.
 """
 
 from __future__ import annotations
@@ -15,13 +18,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import text_key
+from feedlake.llm.common import free_names, row_key, text_key
 from feedlake.plans.shared import discard, settle
 
 WEIGHTS = (5, 2, 1)  # of the sources by code point, repeating
 MOST_REPEATS = 3  # a target stops at so many times its source's size
 BLOCK = 1024  # documents of one flight
 STRAIN = 0.25
+PIECE = 1 << 12  # repeats of one row that a task makes at a time
 _EDGE = 1e-9
 
 
@@ -35,13 +39,13 @@ def source_targets(
 ) -> DataFrame:
     """One row per source: ``source``, ``documents``, ``source_size``, ``target``.
 
-    Sources share the size of all by weight; a target stops at ``most`` times its source's size and
+    ``sized`` has ``source``, ``size`` and ``rows``, for how many rows a row stands. Sources share the size of all by weight; a target stops at ``most`` times its source's size and
     the excess goes to the others by weight. That is one water level for all: the target is the
     lesser of ``most`` times the size and level times weight. With the sources in the order in
     which they stop, running sums give the level. One row per source passes one task.
     """
     sources = sized.groupBy("source").agg(
-        F.count("*").alias("documents"), F.sum("size").alias("source_size")
+        F.count("*").alias("documents"), F.sum(F.col("size") * F.col("rows")).alias("source_size")
     )
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
@@ -130,14 +134,24 @@ def flight(chances: np.ndarray, sizes: np.ndarray, draw: np.random.Generator, la
 
 
 def _fly(rows: pd.DataFrame, seed: int, land: bool) -> pd.DataFrame:
-    rows = rows.sort_values(["order", "size", "doc_id"], kind="stable")
+    rows = rows.sort_values(["order", "text_key", "row_key"], kind="stable")
     chances = rows["chance"].to_numpy(copy=True)
     draw = np.random.default_rng([seed, int(rows["order"].iloc[0]) % (1 << 62), len(rows)])
     flight(chances, rows["size"].to_numpy(), draw, land)
     return rows.assign(chance=chances)
 
 
-def plan_mix(
+def _repeated(df: DataFrame, times: str, place: str, keys: tuple[str, ...]) -> DataFrame:
+    """Each row ``times`` times, numbered from 0 in ``place``, in pieces that tasks share."""
+    last = F.col(times) - 1
+    starts = F.transform(F.sequence(F.lit(0).cast("bigint"), F.floor(last / PIECE)), lambda k: k * PIECE)
+    pieces = df.where(F.col(times) > 0).withColumn(place, F.explode(starts))
+    pieces = pieces.repartition(*keys, place)
+    top = F.least(last, F.col(place) + (PIECE - 1))
+    return pieces.withColumn(place, F.explode(F.sequence(F.col(place), top)))
+
+
+def plan_units(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
     most: int = MOST_REPEATS,
@@ -145,36 +159,40 @@ def plan_mix(
     seed: int = 0,
     text: str = "text",
 ) -> DataFrame:
-    """How often each document is taken: doc_id, text key, source, size, target, ``copies``.
+    """How often each unit of equal rows is taken, all its rows together.
 
-    ``copies`` is 0 to ``most``. A null or empty text has size 0. Documents of a null source form a
-    source of their own. Each row is drawn for itself, repeated rows too; the draw depends on ids,
-    texts and ``seed`` only, so reruns and other partitionings agree. A source without words has
-    target 0 and no copies. An empty table gives an empty plan.
+    Text key, row key, doc_id, source, size, ``rows``, source_size, target, ``copies``.
     """
-    sized = settle(
-        docs.select(
-            "doc_id",
-            text_key(F.col(text)).alias("text_key"),
-            "source",
-            word_count(F.col(text)).alias("size"),
-        ),
-        "mix_sizes",
+    id_type = docs.schema["doc_id"].dataType
+    units = docs.select(
+        # As text, for ids that are null would make numbers of the others floating ones.
+        F.col("doc_id").cast("string").alias("doc_id"),
+        text_key(F.col(text)).alias("text_key"),
+        row_key(docs).alias("row_key"),
+        "source",
+        word_count(F.col(text)).alias("size"),
     )
+    units = units.groupBy(*units.columns).agg(F.count("*").alias("rows"))
+    sized = settle(units, "mix_sizes")
     targets = source_targets(sized, weights, most).withColumnRenamed("source", "from_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    near = F.round(rate)
-    rate = F.least(F.lit(float(most)), F.when(F.abs(rate - near) < _EDGE, near).otherwise(rate))
-    order = F.pmod(F.xxhash64("doc_id", "text_key", F.lit(seed)), F.lit(1 << 62))
+    amount = rate * F.col("rows")
+    near = F.round(amount)
+    amount = F.least(
+        (most * F.col("rows")).cast("double"),
+        F.when(F.abs(amount - near) < _EDGE * F.col("rows"), near).otherwise(amount),
+    )
+    order = F.pmod(F.xxhash64("text_key", "row_key", F.lit(seed)), F.lit(1 << 62))
     drawn = sized.join(targets, sized["source"].eqNullSafe(targets["from_source"])).select(
-        "doc_id", "text_key", "source", "size", "documents", "source_size", "target",
-        F.floor(rate).cast("bigint").alias("base"),
-        (rate - F.floor(rate)).alias("chance"),
+        "text_key", "row_key", "doc_id", "source", "size", "rows",
+        "documents", "source_size", "target",
+        F.floor(amount).cast("bigint").alias("base"),
+        (amount - F.floor(amount)).alias("chance"),
         order.alias("order"),
     )
     decided, unused = None, sized
     while True:
-        # A group is one block of one source; the number of blocks follows the documents left.
+        # A group is one block of one source; the number of blocks follows the units left.
         blocks = F.ceil(F.col("documents") / F.lit(block))
         land = F.col("documents") <= block
         groups = drawn.withColumns(
@@ -202,31 +220,53 @@ def plan_mix(
         left = left.withColumnRenamed("source", "of_source")
         drawn = rest.join(left, rest["source"].eqNullSafe(left["of_source"])).drop("of_source")
     return decided.select(
-        "doc_id", "text_key", "source", "size", "source_size", "target", "copies"
+        "text_key", "row_key", F.col("doc_id").cast(id_type).alias("doc_id"), "source", "size",
+        "rows", "source_size", "target", "copies",
     )
 
 
+def plan_mix(docs: DataFrame, **options) -> DataFrame:
+    """How often each document is taken: doc_id, text key, source, size, target, ``copies``.
+
+    One row per row of ``docs``; ``copies`` is 0 to ``most``. A null or empty text has size 0.
+    Documents of a null source form a source of their own. Rows that are equal in every column
+    share their copies evenly, so that they differ by one at most. The draw depends on the rows and
+    ``seed`` only, so reruns and other partitionings agree. A source without words has target 0 and
+    no copies. An empty table gives an empty plan. Options as of :func:`plan_units`.
+    """
+    units = plan_units(docs, **options)
+    columns = ("doc_id", "text_key", "source", "size", "source_size", "target", "copies")
+    single = units.where("rows = 1").select(*columns)
+    place = _repeated(units.where("rows > 1"), "rows", "place", ("text_key", "row_key"))
+    share = F.floor(F.col("copies") / F.col("rows")) + (
+        F.col("place") < F.col("copies") % F.col("rows")
+    ).cast("bigint")
+    return single.unionByName(place.withColumn("copies", share).select(*columns))
+
+
 def mix(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """``docs`` with every document repeated as often as the plan takes it.
+    """``docs`` with every document repeated as often as the plan takes it; all columns stay.
 
-    Here rows of equal id and text share their copies evenly, the first ones taking one more.
+    Rows that differ in any column are taken each for itself, equal ones as often as they are taken
+    together.
     """
-    plan = plan_mix(docs, text=text, **options)
-    taken = plan.groupBy("doc_id", "text_key").agg(
-        F.sum("copies").alias("_copies"), F.count("*").alias("_rows")
-    ).withColumnsRenamed({"doc_id": "_doc", "text_key": "_text"})
-    keyed = docs.withColumn("_key", text_key(F.col(text)))
-    found = keyed.join(
-        taken, keyed["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text"))
+    key, row, copies, place, whole = free_names(docs, "key", "row", "copies", "place", "whole")
+    units = plan_units(docs, text=text, **options).where("copies > 0")
+    units = units.select(
+        F.col("text_key").alias(key), F.col("row_key").alias(row), F.col("copies").alias(copies), "rows"
     )
-    several = Window.partitionBy("_doc", "_text").orderBy(F.lit(0))
-    place = F.when(F.col("_rows") == 1, F.lit(1)).otherwise(F.row_number().over(several))
-    share = F.floor(F.col("_copies") / F.col("_rows")) + (
-        place <= F.col("_copies") % F.col("_rows")
-    ).cast("bigint")
-    return (
-        found.withColumn("_take", share)
-        .where("_take > 0")
-        .withColumn("_take", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_take"))))
-        .select(*docs.columns)
+    keyed = docs.withColumns({key: text_key(F.col(text)), row: row_key(docs)})
+    once = units.where("rows = 1").drop("rows")
+    taken = keyed.join(once, [key, row]).withColumn(
+        place, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies)))
+    )
+    taken = taken.select(*docs.columns)
+    several = units.where("rows > 1").drop("rows")
+    if several.isEmpty():
+        return taken
+    # One of the equal rows stands for all, and is repeated as often as they are taken.
+    one = keyed.join(several, [key, row]).groupBy(key, row).agg(
+        F.first(F.struct(*docs.columns)).alias(whole), F.first(copies).alias(copies)
     )
+    repeated = _repeated(one, copies, place, (key, row))
+    return taken.unionAll(repeated.select(f"{whole}.*"))

@@ -17,10 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import chunks, strings, text_key
+from feedlake.llm.common import chunks, free_names, row_key, strings, text_key
 from feedlake.llm.components import components
 from feedlake.llm.wordhash import NOT_BLANK, hash_words, mix, shingle_hashes
 from feedlake.plans.shared import discard, settle
@@ -590,24 +590,35 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one document of each group: the least id, then the least text key.
 
-    Documents without words are in no group and all stay. Of repeated rows one stays.
+    Documents without words are in no group and all stay. Of repeated rows, equal in id and text,
+    one stays, chosen by a hash of its other columns. All columns stay.
     """
     found = settle(link(docs, width, percent, text, counted=False), "ngram_found")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
-    kept = found.where("label is not null").groupBy("label").agg(F.min(order).alias("best"))
-    kept = kept.select(
-        F.col("best.doc_id").alias("_doc"), F.col("best.text_key").alias("_key"),
-        F.lit(True).alias("_one"),
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"), F.col("rows"))
+    documents = found.where("label is not null").groupBy("label", "doc_id", "text_key").agg(
+        F.count("*").alias("rows")
+    )
+    kept = settle(documents.groupBy("label").agg(F.min(order).alias("best")), "ngram_kept")
+    doc, key, own, whole = free_names(docs, "doc", "key", "own", "whole")
+    chosen = kept.select(
+        F.col("best.doc_id").alias(doc), F.col("best.text_key").alias(key), F.col("best.rows")
     )
     bare = found.where("label is null").select(
-        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.lit(False).alias("_one")
+        F.col("doc_id").alias(doc), F.col("text_key").alias(key)
     ).distinct()
-    keyed = docs.withColumn("_text", text_key(F.col(text)))
-    chosen = keyed.join(
-        kept.unionByName(bare),
-        keyed["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_key")),
-    )
-    repeats = Window.partitionBy("_doc", "_key").orderBy(F.lit(0))
-    first = F.when(F.col("_one"), F.row_number().over(repeats)).otherwise(1)
-    return chosen.withColumn("_place", first).where("_place = 1").select(*docs.columns)
+    keyed = docs.withColumn(own, text_key(F.col(text)))
 
+    def rows_of(wanted: DataFrame) -> DataFrame:
+        return keyed.join(
+            wanted.select(doc, key),
+            keyed["doc_id"].eqNullSafe(wanted[doc]) & (keyed[own] == wanted[key]),
+        )
+
+    out = rows_of(chosen.where("rows = 1").select(doc, key).unionByName(bare)).select(*docs.columns)
+    several = chosen.where("rows > 1")
+    if several.isEmpty():
+        return out
+    one = rows_of(several).groupBy(doc, key).agg(
+        F.min_by(F.struct(*docs.columns), row_key(docs)).alias(whole)
+    )
+    return out.unionAll(one.select(f"{whole}.*"))

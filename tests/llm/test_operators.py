@@ -212,6 +212,72 @@ def test_mix_on_awkward_rows(spark, awkward):
     assert mixing.mix(awkward.limit(0)).count() == 0
 
 
+NAMES = "doc_id text lang source key row copies place whole rows own cut doc text_key row_key size order"
+
+
+def crowded(spark, rows):
+    """Documents with further columns that have the names of the operators' own."""
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    further = [F.lit(f"of {name}").alias(name) for name in NAMES.split()[4:]]
+    further.append(F.create_map(F.lit("a"), F.lit(1)).alias("part"))
+    return table.select("*", *further)
+
+
+def test_equal_rows_are_one_unit_of_the_mix(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PIECE", 64)
+    texts = [" ".join(["w"] * (1 + k % 40)) for k in range(3000)]
+    rows = [(k, text, "en", "ab"[k % 2]) for k, text in enumerate(texts)]
+    rows += [(7777, "one and the same row", "en", "a")] * 1500
+    rows += [(8888, "under two sources", lang, source) for lang in "xy" for source in "ab"]
+    rows += [((1 << 53) + 1, "a long id", "en", "a"), (None, "no id", "en", "a"), (None, None, None, "b")]
+    docs = crowded(spark, rows)
+    units = mixing.plan_units(docs).where("rows > 1").collect()
+    assert [(r.doc_id, r.rows) for r in units] == [(7777, 1500)]
+    plan = mixing.plan_mix(docs).collect()
+    assert collections.Counter((r.doc_id, r.source) for r in plan) == collections.Counter(
+        (r[0], r[3]) for r in rows
+    )
+    same = [r.copies for r in plan if r.doc_id == 7777]
+    assert max(same) - min(same) <= 1 and max(r.copies for r in plan) <= 3
+    for source in "ab":
+        own = [r for r in plan if r.source == source]
+        assert abs(sum(r.copies * r.size for r in own) - own[0].target) <= 0.02 * own[0].target + 20
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    taken = collections.Counter((r.doc_id, r.lang, r.source) for r in mixed.collect())
+    planned = collections.Counter()
+    for r in plan:
+        planned[r.doc_id, r.source] += r.copies
+    for key, copies in planned.items():
+        assert sum(n for (i, _, s), n in taken.items() if (i, s) == key) == copies
+    assert mixed.where("place <> 'of place' or part['a'] <> 1").count() == 0
+
+
+def test_further_columns_keep_their_values(spark):
+    line = "a line of some length that is here, there and everywhere"
+    rows = [(1, f"{line} one\n{line}", "en", "a"), (2, line, "en", "a"), (3, line, "fr", "b")]
+    rows += [(9, "a common text of a few words that stands in very many rows", "en", "a")] * 900
+    rows += [(9, "a common text of a few words that stands in very many rows", "de", "a")] * 600
+    docs = crowded(spark, rows)
+    one = ngram_join.keep_one(docs)
+    assert one.columns == docs.columns
+    kept = one.collect()
+    assert sorted(r.doc_id for r in kept) == [1, 2, 9]
+    other = ngram_join.keep_one(docs.repartition(7)).collect()
+    assert sorted((r.doc_id, r.lang) for r in other) == sorted((r.doc_id, r.lang) for r in kept)
+    cut = lines.drop_repeats(docs)
+    assert cut.columns == docs.columns and cut.count() == len(rows)
+    items = [(k, f"{line} and item {k} with words of its own as many as are needed") for k in range(4)]
+    items.append((9, line))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.find_contamination(docs, benchmark, block_chars=80)
+    assert found.count() == len(rows) and set(docs.columns) <= set(found.columns)
+    assert sorted(r.doc_id for r in found.where("contaminated").collect()) == [1, 2, 3]
+    for result in (one, cut, found):
+        wrong = [f"`{name}` <> 'of {name}'" for name in NAMES.split()[4:]]
+        assert result.where(" or ".join(wrong)).count() == 0
+
+
 # --- n-gram join
 
 

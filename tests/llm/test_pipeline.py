@@ -3,6 +3,8 @@
 import collections
 
 import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
 from feedlake.llm import mixing, tokens
 from feedlake.llm.common import read_table
 from feedlake.plans.shared import settle
@@ -62,3 +64,28 @@ def test_every_stage_equals_brute_force(spark):
         for part, first in enumerate(range(0, len(whole), tokens.LENGTH)):
             expected[r.doc_id][part, whole[first : first + tokens.LENGTH].tobytes()] += times
     assert parts == expected
+
+
+@pytest.mark.parametrize("kind", ["empty", "awkward"])
+def test_run_on_few_and_odd_documents(spark, tmp_path, awkward, kind):
+    docs = read_table(spark, SF, "documents")
+    if kind == "empty":
+        docs = docs.limit(0)
+    else:
+        odd = awkward.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+        docs = docs.where("doc_id > 10").unionByName(odd, allowMissingColumns=True)
+    docs.coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
+    read_table(spark, SF, "benchmark").write.parquet(str(tmp_path / "benchmark.parquet"))
+    shards = settle(corpus_pipeline.run(spark, str(tmp_path)), "test_run")
+    ids = {i for row in shards.collect() for i in row.doc_ids}
+    assert (len(ids) > 0) == (kind == "awkward")
+    assert not ids & {2, 3, 5, 6}  # no letter in them
+
+
+def test_stages_keep_further_columns(spark, awkward):
+    docs = awkward.withColumn("n_chars", F.lit(0).cast("bigint")).withColumn("key", F.lit("k"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        known = [tuple(r) for r in docs.select("doc_id", "score", "spans", "key").collect()]
+        assert {tuple(r) for r in out.select("doc_id", "score", "spans", "key").collect()} <= set(known)
