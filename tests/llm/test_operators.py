@@ -567,7 +567,7 @@ def test_search_equals_brute_force(spark):
     rows += [(1000 + k, [0.5] * 6) for k in range(300)]  # one common vector: ties
     rows += [(2000, None), (2001, [None] * 6), (2002, [float("nan")] * 6), (3000, [float("inf")] * 6)]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
-    for options in ({}, {"block": 90, "queries": 3}):
+    for options in ({}, {"block": 90, "queries": 3}, {"block": 60, "pivots": 4}):
         found = covertree.top_k(table, **options).collect()
         assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found) == brute_top(rows)
     assert covertree.top_k(table.limit(0)).count() == 0

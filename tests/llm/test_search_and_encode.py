@@ -13,7 +13,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, centroids, gnat, queries, vectors
+from feedlake.llm import bpe, centroids, covertree, gnat, queries, vectors
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
@@ -50,6 +50,74 @@ def test_whole_numbers_are_exact():
     assert found == {k: whole(r, 1024) for k, r in enumerate(rows) if whole(r, 1024)}
 
 
+# --- exact top-k search
+
+
+def brute_search(rows, every=100, top=10):
+    rows = [(i, whole(v, 1024)) for i, v, _ in rows if i is not None and whole(v, 1024)]
+    out = Counter()
+    for query, v in {(i, tuple(w)) for i, w in rows if i % every == 0}:
+        scored = sorted(
+            (-s, i) for i, w in rows if i != query and len(w) == len(v)
+            for s in [sum(a * b for a, b in zip(v, w, strict=True))] if -(2**63) <= s < 2**63
+        )[:top]
+        out.update((query, k, i, -s) for k, (s, i) in enumerate(scored, 1))
+    return out
+
+
+def test_search_leaves_no_vector_out(spark):
+    inf, nan = float("inf"), float("nan")
+    draw = np.random.default_rng(8)
+    rows = [(k, (draw.normal(size=3) * 10.0 ** (k % 12)).tolist(), 0) for k in range(400)]
+    rows += [(k, (draw.normal(size=3) * 10.0 ** (k % 12 - 6)).tolist(), 0) for k in range(400, 650)]
+    rows += [(700 + k, [3e6, -1.0, float(k % 3)], 0) for k in range(30)]
+    rows += [
+        (0, [3e6, 3e6, 1.0], 1), (0, [3e6, 3e6, 1.0], 1), (1000, [1e300, -1e300, 1e-9], 1),
+        (1001, [1e-9, 1e-9, 1.7e308], 1), (1100, None, 1), (1101, [], 1), (None, [1.0] * 3, 1),
+        (1102, [None, 1.0, 1.0], 1), (1200, [nan, 1.0, 1.0], 1), (1300, [inf, 1.0, 1.0], 1),
+        (1400, [2.0], 1), (1401, [5e6], 1), (1402, [-3.0], 1), (1500, [0.0] * 3, 1),
+    ]
+    expected = brute_search(rows)
+    for options in ({}, {"block": 50, "queries": 2}):
+        found = covertree.top_k(table(spark, rows), **options)
+        assert found.columns == ["query_id", "rank", "vec_id", "score"]
+        assert Counter(map(tuple, found.collect())) == expected
+    assert covertree.top_k(table(spark, [])).count() == 0
+
+
+def test_cover_tree_holds_its_invariants():
+    points = np.floor(cloud(3000, 5, middles=30, size=8) * 1024).astype(np.int64)
+    tree = covertree.CoverTree(points)
+    own = points[tree.order].astype(float)
+    assert sorted(tree.order) == list(range(3000)) and len(tree.ranges) > 30
+    for node, (low, high) in enumerate(tree.ranges):
+        center = own[tree.centers[node]]
+        assert np.sqrt(((own[low:high] - center) ** 2).sum(1)).max() <= tree.radius[node] + 1e-6
+        assert tree.radius[node] <= 2.0 ** tree.level[node] or not tree.radius[node]
+        children = tree.children[node]
+        if len(children):
+            assert sorted(tree.ranges[k] for k in children)[0][0] == low
+            assert sum(b - a for a, b in (tree.ranges[k] for k in children)) == high - low
+            middles = own[tree.centers[children]]
+            apart = np.sqrt(((middles[:, None] - middles[None]) ** 2).sum(2))
+            assert apart[~np.eye(len(children), dtype=bool)].min() > 2.0 ** (tree.level[node] - 1)
+            assert all(tree.radius[k] <= 2.0 ** (tree.level[node] - 1) for k in children)
+
+
+def test_radii_spare_most_comparisons():
+    points = np.floor(cloud(8000, 2, middles=60, size=64, wide=0.02) * 1024).astype(np.int64)
+    ids = np.arange(8000)
+    search = covertree.Search(ids[::100], ids[::100], points[::100], 10)
+    for low in range(0, 8000, 2000):
+        tree = covertree.CoverTree(points[low : low + 2000])
+        order = tree.order + low
+        search.add(covertree.Points(ids[order], points[order], tree))
+    assert search.compared < 0.2 * 80 * 8000
+    scores = points[::100] @ points.T
+    scores[np.arange(80), ids[::100]] = -(1 << 62)
+    assert (np.sort(scores)[:, :-11:-1] == search.scores[np.argsort(search.own.ids)]).all()
+
+
 # --- hard negatives
 
 
