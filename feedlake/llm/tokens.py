@@ -16,12 +16,13 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from feedlake.llm.common import text_key
 from feedlake.plans.shared import settle
@@ -34,6 +35,7 @@ PATTERN = (
 END = 50256
 LENGTH = 512  # tokens of a sequence
 PER_SHARD = 1024  # sequences of a shard
+RANGE = 128  # shards of a range that a task writes, about, where there are many
 ROUNDS = 6
 ROWS = 512  # documents that are encoded or cut before they are handed on
 # One record: doc_id, part and number of tokens as little-endian integers, then the tokens.
@@ -173,9 +175,11 @@ def first_indexes(rows: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     return counted.drop("end"), begin
 
 
-def slotted(rows: DataFrame, key: int, length: int) -> DataFrame:
+def slotted(rows: DataFrame, key: int, length: int) -> tuple[DataFrame, int]:
     """One row per sequence with its global slot, from settled documents with a ``row`` number.
 
+    The number of sequences comes along.
+
     Whole documents meet their first index; they are cut into sequences behind that join.
     """
     firsts, begin = first_indexes(rows)
@@ -209,9 +213,10 @@ def slotted(rows: DataFrame, key: int, length: int) -> DataFrame:
                     ["doc_id", "part", "n_tokens", "slot", "tokens"],
                 )
 
-    return rows.join(firsts, "row").mapInArrow(
+    found = rows.join(firsts, "row").mapInArrow(
         run, "doc_id bigint, part int, n_tokens int, slot bigint, tokens binary"
     )
+    return found, count
 
 
 def write_order(
@@ -224,6 +229,9 @@ def write_order(
 ) -> DataFrame:
     """The shards of all ``docs``: one row each with its payload of fixed-stride records.
 
+    Each partition of the result is a range of slots, in order: written as Parquet, a file holds
+    neighbouring shards, and a reader of a range of slots skips the others by their statistics.
+
     ``doc_ids`` has the distinct ids in a shard, in order, without those that are null.
 
     Every document ends with the end token, so a null or empty text is one sequence of that token
@@ -234,39 +242,61 @@ def write_order(
         "row", F.monotonically_increasing_id()
     )
     rows = settle(numbered, "token_documents")
-    placed = slotted(rows, key, length).withColumn(
-        "shard_id", F.floor(F.col("slot") / per_shard).cast("bigint")
+    placed, count = slotted(rows, key, length)
+    shards = -(-count // per_shard)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards // RANGE)
+    wide = max(1, -(-shards // tasks))  # shards of a range
+    ranges = max(1, -(-shards // wide))
+    ordered = (
+        placed.withColumn("shard_id", F.floor(F.col("slot") / per_shard).cast("bigint"))
+        .repartitionById(ranges, F.floor(F.col("shard_id") / wide).cast("int"))
+        .sortWithinPartitions("slot")
     )
     kind = record_type(length)
 
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("slot")
-        records = np.zeros(len(group), kind)
+    def shard(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        records = np.zeros(len(table), kind)
         records["tokens"] = END
-        records["doc_id"] = [NO_ID if pd.isna(i) else int(i) for i in group["doc_id"]]
-        records["part"] = group["part"]
-        records["n_tokens"] = group["n_tokens"]
+        records["doc_id"] = table.column("doc_id").fill_null(NO_ID).to_numpy()
+        records["part"] = table.column("part").to_numpy()
+        records["n_tokens"] = table.column("n_tokens").to_numpy()
         unpack = zstandard.ZstdDecompressor().decompress
-        for row, packed in enumerate(group["tokens"]):
-            own = np.frombuffer(unpack(packed), "<u2")
+        for row, cell in enumerate(table.column("tokens")):
+            own = np.frombuffer(unpack(cell.as_py()), "<u2")
             records["tokens"][row, : len(own)] = own
         payload = records.tobytes()
-        return pd.DataFrame(
-            {
-                "shard_id": [int(group["shard_id"].iloc[0])],
-                "first_slot": [int(group["slot"].iloc[0])],
-                "n_sequences": [len(group)],
-                "n_tokens": [int(records["n_tokens"].sum())],
-                "stride": [kind.itemsize],
-                "sha256": [hashlib.sha256(payload).hexdigest()],
-                "doc_ids": [np.unique(records["doc_id"][records["doc_id"] != NO_ID])],
-                "payload": [payload],
-            }
-        )
+        ids = records["doc_id"][records["doc_id"] != NO_ID]
+        cells = {
+            "shard_id": table.column("shard_id")[0].as_py(),
+            "first_slot": table.column("slot")[0].as_py(),
+            "n_sequences": len(table),
+            "n_tokens": int(records["n_tokens"].sum()),
+            "stride": kind.itemsize,
+            "sha256": hashlib.sha256(payload).hexdigest(),
+            "doc_ids": np.unique(ids).tolist(),
+            "payload": payload,
+        }
+        return pa.RecordBatch.from_pylist([cells], schema=schema)
+
+    schema = to_arrow_schema(T._parse_datatype_string(SHARD))
 
-    # Ids with gaps would come as floats and lose digits, so nulls are replaced beforehand.
-    filled = placed.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    return filled.groupBy("shard_id").applyInPandas(pack, SHARD)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # of one shard
+        for batch in batches:
+            own = batch.column("shard_id").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(own)]
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                if low == high:
+                    continue
+                if held and held[0].column("shard_id")[0].as_py() != own[low]:
+                    yield shard(held)
+                    held = []
+                held.append(batch.slice(low, high - low))
+        if held:
+            yield shard(held)
+
+    return ordered.mapInArrow(run, SHARD)
 
 
 def read_slots(shards: DataFrame, first: int, last: int, length: int = LENGTH) -> Iterator[tuple]:

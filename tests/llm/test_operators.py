@@ -149,6 +149,15 @@ def test_shards_round_trip_and_resume(spark, awkward):
     assert tokens.write_order(awkward.limit(0)).count() == 0
 
 
+def test_a_partition_holds_a_range_of_slots(spark):
+    docs = frame(spark, [f"some words of text {k} " * (k % 9) for k in range(300)])
+    shards = tokens.write_order(docs, length=8, per_shard=5).withColumn("at", F.spark_partition_id())
+    rows = [(r.at, r.first_slot, r.shard_id, r.n_sequences) for r in shards.collect()]
+    assert rows == sorted(rows) and len({r[0] for r in rows}) > 1
+    assert [r[2] for r in rows] == list(range(len(rows)))
+    assert all(first == 5 * k and n == 5 for _, first, k, n in rows[:-1])
+
+
 # --- mixing
 
 
