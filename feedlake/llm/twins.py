@@ -120,9 +120,86 @@ select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_it
   coalesce(n_hit > 0 and 20 * n_hit >= len(words), false) as contaminated
 from docs left join hits using (row) left join named using (row)"""
 
+SIMILAR = f"""with recursive docs as (
+  select row_number() over () as row, doc_id,
+    regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as words
+  from documents),
+grams as (
+  select distinct row, array_to_string(words[place:place + size - 1], ' ') as gram
+  from (select row, words, size, unnest(range(1, len(words) - size + 2)) as place
+    from (select *, least(len(words), 4) as size from docs where len(words) > 0))),
+sets as (
+  select row, count(*) as n, sha256(string_agg(gram, '|' order by gram)) as class
+  from grams group by row),
+classes as materialized (
+  select class, any_value(n) as n, min(row) as shown, min(doc_id) as least_id
+  from sets join docs using (row) group by class),
+class_grams as materialized (
+  select class, n, gram from classes join grams on shown = row),
+links as materialized (
+  select a.class as one, b.class as other
+  from class_grams a join class_grams b on a.gram = b.gram and a.class <> b.class
+  group by a.class, b.class, a.n, b.n
+  having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reached(class, other) as (
+  select class, class from classes
+  union
+  select reached.class, links.other from reached join links on reached.other = links.one),
+components as (
+  select reached.class, min(least_id) as component_id
+  from reached join classes on reached.other = classes.class group by reached.class),
+counts as (
+  select one as class, count(*) as links from links group by one)
+select doc_id, coalesce(n, 0) as n_shingles,
+  case when n is null then doc_id else component_id end as component_id,
+  coalesce(links, 0) as links
+from docs left join sets using (row) left join components using (class)
+left join counts using (class)"""
+
+
+# Lines of at least 16 characters within one edit are equal but for one place, so what they share
+# at the start and at the end is all of the longer one but one character. One of its halves is whole.
+LINES = """with split as (
+  select row, doc_id, place - 1 as line_no, cuts[place] as line
+  from (select row, doc_id, cuts, unnest(range(1, len(cuts) + 1)) as place
+    from (select row_number() over () as row, doc_id,
+        string_split(coalesce(text, ''), chr(10)) as cuts from documents))
+  where trim(cuts[place], ' ') <> ''),
+ordered as materialized (
+  select *, row_number() over (order by doc_id nulls last, line_no) as seq from split),
+firsts as materialized (
+  select line, min(seq) as seq, length(line) as size from ordered group by line),
+halves as materialized (
+  select line, seq, size, of_size, kind, case kind
+      when 0 then left(line, of_size // 2) else right(line, of_size - of_size // 2) end as half
+  from (select line, seq, size, unnest([size, size - 1]) as of_size from firsts where size >= 16)
+  cross join (values (0), (1)) kinds(kind)),
+met as (
+  select distinct a.line as line, b.line as earlier, greatest(a.size, b.size) as longest,
+    least(a.size, b.size) as shortest
+  from halves a join halves b on a.of_size = b.of_size and a.kind = b.kind and a.half = b.half
+    and b.seq < a.seq),
+near as (
+  select distinct line from met
+  where len(list_filter(range(1, shortest + 1), lambda k: left(line, k) = left(earlier, k)))
+    + len(list_filter(range(1, shortest + 1), lambda k: right(line, k) = right(earlier, k)))
+    >= longest - 1),
+marked as (
+  select o.row, o.line_no, o.seq <> f.seq or n.line is not null as dropped
+  from ordered o join firsts f on o.line = f.line left join near n on n.line = o.line),
+told as (
+  select row, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
+    string_agg(line_no, ',' order by line_no) filter (dropped) as dropped
+  from marked group by row)
+select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_dropped, 0) as n_dropped,
+  coalesce(dropped, '') as dropped
+from (select row_number() over () as row, doc_id from documents) left join told using (row)"""
+
 
 TWINS = {
+    "op4_ngram_join": SIMILAR,
     "op7_cover_tree": TOP_K,
+    "op9_line_dedup": LINES,
     "op10_decontaminate": CONTAMINATION,
     "op11_hard_negatives": HARD_NEGATIVES,
     "op13_centroids": _clusters(),
