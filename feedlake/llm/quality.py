@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import bucket_of, chunks, map_rows, strings
+from feedlake.llm.common import bucket_of, chunks, map_rows, strings, text_key
 from feedlake.llm.wordhash import IDENTITY, NOT_BLANK, hash_words
 
 SAMPLE = 4000  # labelled rows that training sees, at most about
@@ -138,14 +138,21 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMo
     total = known.count()
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
     ids = known.where(draw * total < sample)
+    learnable = docs.where(f"text is not null and length(text) <= {LONGEST_SAMPLE}").select(
+        "doc_id", text_key(F.col("text")).alias("key"), "text"
+    )
+    # Narrow keys first: copies of a row, however many, are one, and many texts under one id end at
+    # twice the sample. Only texts of the keys chosen move.
+    labelled = F.broadcast(ids)  # about `sample` ids, whatever the tables hold
+    chosen = (
+        learnable.select("doc_id", "key").join(labelled, "doc_id").distinct()
+        .orderBy("doc_id", "key").limit(2 * sample)
+    )
     rows = (
-        docs.select("doc_id", "text")
-        .where(f"text is not null and length(text) <= {LONGEST_SAMPLE}")
-        .join(F.broadcast(ids), "doc_id")  # about `sample` ids, whatever the tables hold
+        learnable.join(F.broadcast(chosen), ["doc_id", "key"])
+        .dropDuplicates(["doc_id", "key"])
         .toPandas()
         .sort_values(["doc_id", "text"])
-        .drop_duplicates()
-        .head(2 * sample)  # many texts under one id
     )
     texts = pa.array(rows["text"].tolist(), pa.string())
     return fit(texts, rows["quality"].to_numpy(dtype=np.int64))

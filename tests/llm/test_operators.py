@@ -412,6 +412,26 @@ def test_models_on_awkward_rows(spark, awkward):
     assert {r.lang_pred for r in language.identify(awkward, untrained).collect()} == {"und"}
 
 
+def test_quality_sample_is_bounded_and_without_copies(spark, monkeypatch):
+    learned = [k for k in range(60) if zlib.crc32(str(k).encode()) % 3 != 1]
+    rows = [(learned[0], f"own text {k}") for k in range(300)]  # many texts under one id
+    rows += [(learned[1], "the same text again")] * 300  # a third of all rows
+    rows += [(k, f"text of {k}") for k in range(60)] + [(None, "no id"), (learned[2], None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(None, 1)], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(
+        quality, "fit", lambda texts, known: seen.append(list(zip(texts.to_pylist(), known.tolist(), strict=True)))
+    )
+    quality.train(docs, labels, 50)
+    quality.train(docs.repartition(3), labels.repartition(2), 50)
+    assert seen[0] == seen[1] and len(set(seen[0])) == len(seen[0]) == 100
+    quality.train(docs.where("text like 'text%'"), labels, 1000)
+    assert sorted(seen[2]) == sorted((f"text of {k}", k % 2) for k in learned)
+    quality.train(docs, labels.limit(0))
+    assert seen[3] == []
+
+
 def test_language_on_held_out_rows(spark):
     rows = queries.op8_language(spark, "/root/testdata/sf0.01").collect()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
