@@ -8,7 +8,9 @@ edit distance is verified on the lines. Of lines within the bound the earliest i
 Only the earliest line of a joined hash is a partner: lines that share a variant at one place are
 all within one edit of each other, so one earlier line is enough to drop the rest, and no pairs
 within a group are made. Before variants are emitted, lines are left out that share neither their
-first nor their second half with any line of nearly their length; one edit leaves a half whole.
+first nor their second half with any line of nearly their length; one edit leaves a half whole. The
+others are cut into pieces, about as many as a piece has characters; one edit leaves all that stands
+outside of one piece whole, so variants are made only at places in pieces whose outside is shared.
 """
 
 from __future__ import annotations
@@ -52,13 +54,47 @@ def _half_keys() -> Column:
     return F.array(*keys)
 
 
+def _pieces(shorter: Column) -> Column:
+    """Each piece of the line, cut as the shorter one of two is: its places, a hash of what is outside."""
+    line, size = F.col("line"), F.col("size")
+    width = F.ceil(F.sqrt(shorter)).cast("int")
+
+    def piece(start: Column) -> Column:
+        end = F.least(start + width, shorter)
+        return F.struct(
+            (start + 1).alias("low"),
+            (end + size - shorter).alias("high"),
+            F.xxhash64(F.left(line, start), shorter, start, F.right(line, shorter - end)).alias("outside"),
+        )
+
+    return F.transform(F.sequence(F.lit(0), shorter - 1, width), piece)
+
+
+def shared_pieces(texts: DataFrame) -> DataFrame:
+    """One row per line (id) that shares all but a piece with another; ``spans``: those pieces' places."""
+    size = F.col("size")
+    cuts = texts.select("id", F.explode(_pieces(size)).alias("piece"), F.lit(True).alias("shorter"))
+    as_longer = texts.select(
+        "id", F.explode(_pieces(size - 1)).alias("piece"), F.lit(False).alias("shorter")
+    )
+    cuts = cuts.unionByName(as_longer).select("id", "piece.low", "piece.high", "piece.outside", "shorter")
+    # Of two longer ones nothing is asked here: each is cut by its own length, too.
+    met = cuts.groupBy("outside").agg(
+        F.count("*").alias("lines"), F.max("shorter").alias("any_shorter")
+    ).where("lines > 1 and any_shorter").select("outside")
+    return cuts.join(met, "outside").groupBy("id").agg(
+        F.collect_set(F.struct("low", "high")).alias("spans")
+    )
+
+
 def _variants() -> Column:
-    """The line itself at place 0, then each variant with the character at a place deleted."""
+    """The line itself at place 0, then the variants with the character at a place of ``spans`` deleted."""
     line = F.col("line")
+    places = F.flatten(F.transform("spans", lambda span: F.sequence(span["low"], span["high"])))
     return F.concat(
         F.array(F.struct(F.lit(0).alias("place"), F.xxhash64(line).alias("key"))),
         F.transform(
-            F.sequence(F.lit(1), F.col("size")),
+            F.array_distinct(places),
             lambda k: F.struct(
                 k.alias("place"),
                 F.xxhash64(
@@ -96,7 +132,9 @@ def near_lines(docs: DataFrame, distinct: DataFrame, text: str = "text") -> Data
         "line_texts",
     )
     variants = settle(
-        texts.select("id", F.explode(_variants()).alias("v")).select("id", "v.place", "v.key"),
+        texts.join(shared_pieces(texts), "id")
+        .select("id", F.explode(_variants()).alias("v"))
+        .select("id", "v.place", "v.key"),
         "line_variants",
     )
     shorter = variants.where("place > 0")

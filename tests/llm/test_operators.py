@@ -25,6 +25,7 @@ from feedlake.llm import (
     secrets,
     tokens,
 )
+from feedlake.plans import shared
 
 SF = "/root/testdata/sf0.001"
 LOWER = {code: code + 32 for code in range(65, 91)}
@@ -606,6 +607,14 @@ def test_search_equals_brute_force(spark):
 # --- lines
 
 
+def within_an_edit(a, b):
+    a, b = sorted((a, b), key=len)
+    k = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
+    return len(b) - len(a) <= 1 and (
+        a[k:] == b[k + 1 :] or (len(a) == len(b) and a[k + 1 :] == b[k + 1 :])
+    )
+
+
 def test_lines_equal_brute_force(spark):
     draw = random.Random(7)
     base = ["".join(draw.choices("abcd é", k=draw.randint(10, 40))) for _ in range(25)]
@@ -651,6 +660,73 @@ def test_lines_equal_brute_force(spark):
         assert (kept[doc_id] or "") == "\n".join(own)
 
 
+def variants_made(monkeypatch):
+    counts = []
+
+    def settle(df, name):
+        table = shared.settle(df, name)
+        if name == "line_variants":
+            counts.append(table.count())
+        return table
+
+    monkeypatch.setattr(lines, "settle", settle)
+    return counts
+
+
+def test_lines_that_share_a_half_make_few_variants(spark, monkeypatch):
+    draw, made = random.Random(11), variants_made(monkeypatch)
+
+    def some(count):
+        return "".join(draw.choices("abcdefghij klm", k=count))
+
+    head = some(200)
+    halves = [head + some(200) for _ in range(8)]  # 401 variants each, if made of all places
+    kept, place = some(400), 137
+    near = [
+        kept, kept[:place] + "X" + kept[place + 1 :], kept[:place] + kept[place + 1 :],
+        kept[:place] + "XY" + kept[place:],
+    ]
+    found = {r.doc_id: r.dropped for r in lines.find_repeats(frame(spark, halves + near)).collect()}
+    assert {k for k, dropped in found.items() if dropped} == {9, 10}
+    # Of the near ones each has a line and one or two pieces of 20 or 21 places per cut.
+    assert 0 < made[0] <= 4 * (1 + 4 * 21)
+
+
+def test_lines_within_an_edit_meet_at_every_place(spark):
+    draw, texts = random.Random(12), []
+    for size in (15, 16, 17, 24, 25, 26, 50):
+        line = "".join(draw.choices("abcde", k=size))
+        edited = [line]
+        for place in range(size + 1):
+            edited.append(line[:place] + "X" + line[place + 1 :])
+            edited.append(line[:place] + "Y" + line[place:])
+            edited.append(line[:place] + line[place + 1 :])
+        texts.append(edited)
+    for part in (texts, [edited[::-1] for edited in texts]):
+        seen, expected = [], []
+        for edited in part:
+            dropped = []
+            for k, x in enumerate(edited):
+                long = [y for y in seen if min(len(x), len(y)) >= lines.SHORTEST]
+                if x in seen or any(within_an_edit(x, y) for y in long):
+                    dropped.append(k)
+                seen.append(x)
+            expected.append(dropped)
+        rows = lines.find_repeats(frame(spark, ["\n".join(edited) for edited in part])).collect()
+        assert [r.dropped for r in sorted(rows, key=lambda r: r.doc_id)] == expected
+
+
+def test_lines_of_one_character_and_very_long_lines(spark, monkeypatch):
+    made = variants_made(monkeypatch)
+    draw = random.Random(13)
+    long = "".join(draw.choices("abcdefgh é", k=50_000))
+    texts = ["a" * 40, "a" * 41, "a" * 43, "a" * 42 + "b"]
+    texts += [long, long[:30_000] + long[30_001:], "Z" + long[:-1] + "Z"]
+    found = {r.doc_id: r.dropped for r in lines.find_repeats(frame(spark, texts)).collect()}
+    assert {k for k, dropped in found.items() if dropped} == {1, 3, 5}
+    assert made[0] < 5_000  # 100,172, if made at all places
+
+
 def test_lines_on_awkward_rows(spark, awkward):
     rows = lines.find_repeats(awkward).collect()
     assert len(rows) == 7 and all(r.dropped == [] for r in rows)
